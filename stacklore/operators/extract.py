@@ -214,7 +214,7 @@ def parse_detail(pages: DataFrame) -> DataFrame:
     stock = element_body(text, "p", "instock")
     tag = open_tag(r"(\w+)", element_id="product_description")
     section = first_match(text, rf"(?s){tag}.*?</\1\s*>[^<]*(?:<!--.*?-->[^<]*)*<p\b[^>]*>.*?</p\s*>")
-    body = F.regexp_extract(section, r"(?s)<p\b[^>]*>((?:(?!<p\b).)*)</p\s*>\z", 1)
+    body = F.regexp_extract(section, r"(?s).*<p\b[^>]*>(.*?)</p\s*>\z", 1)
     picked = pages.select(
         "url",
         table.isNull().alias("_no_table"),
