@@ -94,36 +94,34 @@ def url_join(base: Column, href: Column) -> Column:
     base_path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     path = F.regexp_extract(href, r"^([^?#]*)", 1)
     suffix = F.regexp_replace(F.regexp_replace(href, r"^[^?#]*", ""), r"#\z", "")
+    # An empty query or fragment leaves no mark.
     suffix = F.regexp_replace(suffix, r"^\?(?=#|\z)", "")
 
-    folder = F.regexp_replace(base_path, r"[^/]*\z", "")
-    segments = F.split(
-        F.when(path.startswith("/"), path).otherwise(F.concat(folder, path)), "/"
-    )
+    # Empty segments are kept in a rooted path and dropped from a merged one.
+    folder = F.regexp_replace(F.concat(F.lit("/"), base_path), r"^/(?=/)|[^/]*\z", "")
+    merged = F.split(F.concat(folder, path), "/")
+    inner = F.filter(F.slice(merged, 2, F.size(merged) - 2), lambda s: s != "")
+    relative = F.concat(F.slice(merged, 1, 1), inner, F.slice(merged, -1, 1))
+    segments = F.when(path.startswith("/"), F.split(path, "/")).otherwise(relative)
+    walked = F.aggregate(segments, F.array().cast("array<string>"), _walk)
     # A trailing "." or ".." names a folder, which keeps its closing slash.
-    last = F.element_at(segments, -1)
-    last = F.when(last.isin(".", ".."), F.concat(last, F.lit("/"))).otherwise(last)
-    walked = F.aggregate(
-        F.filter(F.slice(segments, 1, F.size(segments) - 1), lambda s: s != ""),
-        F.array().cast("array<string>"),
-        _walk,
-    )
-    closing = F.regexp_extract(last, r"^\.\.?/", 0)
-    walked = F.when(closing == "../", _walk(walked, F.lit(".."))).otherwise(walked)
-    tail = F.when(closing != "", F.lit("")).otherwise(last)
-    resolved = F.concat(origin, F.lit("/"), F.array_join(F.concat(walked, F.array(tail)), "/"))
+    folded = F.when(
+        F.element_at(segments, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))
+    ).otherwise(walked)
+    resolved = F.regexp_replace(F.array_join(folded, "/"), r"^(?!/)", "/")
 
     return (
         F.when(href.isNull() | base.isNull(), F.lit(None).cast("string"))
         .when(href == "", base)
+        .when(href.startswith(F.concat(scheme, F.lit("//"))), F.concat(path, suffix))
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("//"), F.concat(scheme, path, suffix))
         .when(
             href.startswith("#") | href.rlike(r"^\?(#|\z)"),
             F.concat(F.regexp_replace(base, r"#.*", ""), suffix),
         )
         .when(href.startswith("?"), F.concat(origin, base_path, suffix))
-        .otherwise(F.concat(resolved, suffix))
+        .otherwise(F.concat(origin, resolved, suffix))
     )
 
 

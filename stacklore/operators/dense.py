@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from stacklore.operators.blocks import question_blocks
 from stacklore.operators.ranking import top_k
 from stacklore.operators.topk_kernel import QuestionBlock, top_k_batches, unit_rows
+from stacklore.session import materialise
 
 # Vectors per question block: 512 vectors of 1,024 doubles are 4 MB per task.
 BLOCK_VECTORS = 512
@@ -37,14 +38,17 @@ class DenseIndex:
 
 def embed(df: DataFrame, text_col: str, embedder: Embedder, out: str = "embedding") -> DataFrame:
     """Add a vector column computed by a batch function from texts to lists of floats."""
-    udf = F.pandas_udf(embedder_body(embedder), T.ArrayType(T.FloatType()))
+    udf = F.pandas_udf(_typed(embedder), T.ArrayType(T.FloatType()))
     return df.withColumn(out, udf(F.col(text_col)))
 
 
-def embedder_body(embedder: Embedder):
+def _typed(embedder: Embedder):
+    """`embedder` as a named function with the type hints a pandas UDF is made from."""
+
     def body(texts: pd.Series) -> pd.Series:
         return embedder(texts)
 
+    # Annotations are strings in this module; the UDF wants the types themselves.
     body.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return body
 
@@ -82,7 +86,9 @@ def search_dense(
         ]
     )
     found: list[DataFrame] = []
-    for part in question_blocks(questions.select(qid, vector_col), qid, block_vectors):
+    # Written once: the blocks are counted and read from it.
+    asked = materialise(questions.select(qid, vector_col), "question-vectors")
+    for part in question_blocks(asked, qid, block_vectors):
         block = _collect_block(part, qid, vector_col)
         picked = rows.select(index.id_col, index.vector_col)
         if probes is not None:

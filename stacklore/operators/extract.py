@@ -112,40 +112,38 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
     is known, so a chain of n pages takes log2(n) joins on unique page keys. Each round is
     written to the shared folder, which keeps plans short and survives lost executors.
     """
-    jump = materialise(
-        edges.filter(F.col("next_url").isNotNull()).select(
-            F.col("url").alias("_from"), F.col("next_url").alias("_to")
-        ),
-        "page-edges",
+    step = links.select(
+        "category_pos", "category_id", F.col("category_url").alias("page_url"),
+        F.lit(0).cast("bigint").alias("page_no"),
     )
-    reached = materialise(
-        links.select(
-            "category_pos", "category_id", F.col("category_url").alias("page_url"),
-            F.lit(0).cast("bigint").alias("page_no"),
-        ),
-        "page-order",
+    jump = edges.filter(F.col("next_url").isNotNull()).select(
+        F.col("url").alias("_from"), F.col("next_url").alias("_to")
     )
-    for round_no in range(MAX_ROUNDS):
-        step = materialise(
-            reached.join(jump, F.col("page_url") == F.col("_from")).select(
-                "category_pos", "category_id", F.col("_to").alias("page_url"),
-                (F.col("page_no") + F.lit(2**round_no)).alias("page_no"),
-            ),
-            "page-order",
-        )
+    reached = None
+    for round_no in range(MAX_ROUNDS + 1):
+        step, jump = _write_round(step, jump)
         if step.isEmpty():
             return reached
-        reached = reached.unionByName(step)
+        reached = step if reached is None else reached.unionByName(step)
         onward = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"))
-        jump = materialise(
-            jump.join(onward, F.col("_to") == F.col("_mid")).select(
-                "_from", F.col("_end").alias("_to")
-            ),
-            "page-edges",
+        step = reached.join(jump, F.col("page_url") == F.col("_from")).select(
+            "category_pos", "category_id", F.col("_to").alias("page_url"),
+            (F.col("page_no") + F.lit(2**round_no)).alias("page_no"),
         )
+        jump = jump.join(onward, F.col("_to") == F.col("_mid")).select("_from", F.col("_end").alias("_to"))
     raise ValueError(f"a listing has more than {2**MAX_ROUNDS} pages: its links form a loop")
 
 
+def _write_round(step: DataFrame, jump: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Write the pages and the links of one round in a single job."""
+    both = step.withColumn("_kind", F.lit("page")).unionByName(
+        jump.withColumn("_kind", F.lit("link")), allowMissingColumns=True
+    )
+    written = materialise(both, "page-order")
+    pages = written.filter("_kind = 'page'").select(*step.columns)
+    return pages, written.filter("_kind = 'link'").select(*jump.columns)
+
+
 def listing_cards(pages: DataFrame) -> DataFrame:
     """Product cards of every page: (url, pos, title, price, rating_word, href, extracted_at)."""
     cards = F.regexp_extract_all(

@@ -20,8 +20,9 @@ from stacklore.operators.ranking import top_k
 from stacklore.operators.topk_kernel import SCORE_DIGITS
 from stacklore.session import materialise
 
-# Rows (question, term, weight) broadcast per search pass: about 40 MB.
-BLOCK_TERMS = 500_000
+# Rows (question, term, weight) broadcast per search pass: about 10 MB. It also bounds the
+# sums a task holds: questions of the block times documents of the partition.
+BLOCK_TERMS = 100_000
 
 
 @dataclass(frozen=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stacklore.operators.dedup import first_row
 from stacklore.operators.dense import DenseIndex, Embedder, embed
+from stacklore.session import has_files
 
 UPSERT, DELETE = "upsert", "delete"
 
@@ -60,9 +61,7 @@ def _classify(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(hadoop_path) or not len(system.listStatus(hadoop_path)):
+    if not has_files(spark, path):
         return None
     return spark.read.option("basePath", path).parquet(path)
 

@@ -44,11 +44,9 @@ def top_k_batches(
     Batches hold (document id, vector[, cell]). Equal scores are ordered by id.
     """
     n_questions, dimensions = block.vectors.shape
-    best_ids: list[np.ndarray] = [np.empty(0, dtype=object)] * n_questions
-    best_scores: list[np.ndarray] = [np.empty(0)] * n_questions
+    best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * n_questions
     for batch in batches:
-        keep = batch.column(1).is_valid()
-        batch = batch.filter(keep)
+        batch = batch.filter(batch.column(1).is_valid())
         if not batch.num_rows:
             continue
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -56,26 +54,49 @@ def top_k_batches(
         scores = np.round(vectors @ block.vectors.T, SCORE_DIGITS).T
         cells = batch.column(2).to_numpy(zero_copy_only=False) if batch.num_columns > 2 else None
         for q in range(n_questions):
-            row = scores[q]
+            allowed = ~np.isnan(scores[q])
             if cells is not None:
-                row = np.where(np.isin(cells, list(block.cells[q])), row, np.nan)
-            found = np.flatnonzero(~np.isnan(row))
-            if found.size > k:
-                # Everything at or above the k-th score; ties are settled by id below.
-                floor = -np.partition(-row[found], k - 1)[k - 1]
-                found = found[row[found] >= floor]
-            all_scores = np.concatenate([best_scores[q], row[found]])
-            all_ids = np.concatenate([best_ids[q], ids[found].astype(object)])
-            order = sorted(range(len(all_ids)), key=lambda i: (-all_scores[i], all_ids[i]))[:k]
-            best_scores[q], best_ids[q] = all_scores[order], all_ids[order]
-    sizes = [len(s) for s in best_scores]
+                allowed &= np.isin(cells, list(block.cells[q]))
+            best[q] = _merge(best[q], ids[allowed], scores[q][allowed], k)
+    found = [(ids, scores) for ids, scores in (b or (np.empty(0), np.empty(0)) for b in best)]
+    sizes = [len(scores) for _, scores in found]
     if sum(sizes):
         rows = np.repeat(np.arange(n_questions), sizes)
+        doc_ids = [i for ids, _ in found for i in ids.tolist()]
         yield pa.RecordBatch.from_arrays(
             [
                 block.ids.take(pa.array(rows)).cast(schema.field(0).type),
-                pa.array(np.concatenate(best_ids).tolist(), type=schema.field(1).type),
-                pa.array(np.concatenate(best_scores)),
+                pa.array(doc_ids, type=schema.field(1).type),
+                pa.array(np.concatenate([scores for _, scores in found]).astype(np.float64)),
             ],
             schema=schema,
         )
+
+
+def _merge(best, ids: np.ndarray, scores: np.ndarray, k: int):
+    """Running best k with new candidates; equal scores go to the smaller id.
+
+    Candidates that cannot enter are cut by whole-array comparisons first, so a large
+    group of copies, all with one score, costs no more than other rows.
+    """
+    if best is not None and len(best[1]) == k:
+        worst_id, worst = best[0][-1], best[1][-1]
+        near = scores >= worst
+        ids, scores = ids[near], scores[near]
+        better = (scores > worst) | (ids < worst_id)
+        ids, scores = ids[better], scores[better]
+    if len(scores) > k:
+        floor = -np.partition(-scores, k - 1)[k - 1]
+        above = scores > floor
+        tied_ids = np.sort(ids[scores == floor])[: k - int(above.sum())]
+        ids = np.concatenate([ids[above], tied_ids])
+        scores = np.concatenate([scores[above], np.full(len(tied_ids), floor)])
+    if best is not None:
+        ids, scores = np.concatenate([best[0], ids]), np.concatenate([best[1], scores])
+    order = np.lexsort((_ranks(ids), -scores))[:k]
+    return ids[order], scores[order]
+
+
+def _ranks(ids: np.ndarray) -> np.ndarray:
+    """Sort positions of at most 2k ids, numbers or texts."""
+    return np.unique(ids, return_inverse=True)[1]

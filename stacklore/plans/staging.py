@@ -36,12 +36,18 @@ def stg_categories(raw_categories: DataFrame) -> DataFrame:
 
 
 def stg_inventory(raw_inventory: DataFrame) -> DataFrame:
+    """Latest inventory per book. Without a `description` column the rest is the same.
+
+    The text is the last tie-break, so leaving it out (for marts that do not use it) picks
+    rows with the same other values, and the text is then neither read nor sorted.
+    """
     latest = latest_per_key(raw_inventory, "book_url", "extracted_at")
+    text = F.nullif(F.trim("description"), F.lit("")).alias("description")
     return latest.select(
         "book_url",
         F.upper("upc").alias("upc"),
         "num_in_stock",
         "num_reviews",
-        F.nullif(F.trim("description"), F.lit("")).alias("description"),
+        *([text] if "description" in raw_inventory.columns else []),
         F.col("extracted_at").cast("timestamp_ntz").alias("extracted_at"),
     )

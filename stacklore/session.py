@@ -59,6 +59,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/stacklore/{label}-{uuid.uuid4().hex}"
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and is not empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(folder) and len(system.listStatus(folder)) > 0
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and return the written table.
 

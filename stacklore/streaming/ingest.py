@@ -3,9 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stacklore.sources.csv_drop import READ_OPTIONS, SOURCE_FILE, apply_contract, list_stage, purge, text_schema
+from stacklore.session import has_files
+from stacklore.sources.csv_drop import (
+    READ_OPTIONS,
+    SOURCE_FILE,
+    apply_contract,
+    list_stage,
+    purge,
+    run_stamp,
+    text_schema,
+)
+
+LOAD_RUN = "_load_run"
 
 
 def csv_stream(
@@ -32,21 +44,27 @@ def ingest_new_files(
     """Append all files not yet loaded to the parquet folder `target`; returns the rows there.
 
     The file sink commits a batch once, so a restart on the same checkpoint neither loses
-    nor repeats rows. Source cleaning lags one batch, so loaded files still present are
-    swept at the end; files that arrived meanwhile are not in `target` and stay.
+    nor repeats rows. Source cleaning lags one batch, so files of this run still present
+    are swept at the end; files that arrived meanwhile are not in `target` and stay. Rows
+    are partitioned by run, so the sweep reads the provenance column of one run only.
     """
+    run = run_stamp()
     stream = csv_stream(spark, path, schema, files_per_batch, clean=purge_files)
     query = (
-        stream.writeStream.format("parquet")
+        stream.withColumn(LOAD_RUN, F.lit(run))
+        .writeStream.format("parquet")
+        .partitionBy(LOAD_RUN)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    if not has_files(spark, target):
+        return spark.createDataFrame([], stream.withColumn(LOAD_RUN, F.lit(run)).schema)
     stored = spark.read.parquet(target)
     if purge_files:
-        loaded = stored.select(SOURCE_FILE).distinct()
+        loaded = stored.filter(F.col(LOAD_RUN) == run).select(SOURCE_FILE).distinct()
         waiting = list_stage(spark, path).filter("path like '%.csv'")
         left = waiting.join(loaded, waiting["path"] == loaded[SOURCE_FILE], "left_semi")
         # One name per file still present: a listing, not data.

@@ -210,7 +210,7 @@ def statements() -> dict[str, str]:
         select * from events
         qualify row_number() over (partition by user_id, event_type order by ts desc nulls first, event_id {}) = 1"""
     links = """
-        select url, unnest(range(len(tags))) as pos, unnest(tags) as tag
+        select url, cast(unnest(range(len(tags))) as integer) as pos, unnest(tags) as tag
         from (select url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) as tags from pages)"""
     means = """
         select label as qid, list(m order by i) as qv
@@ -288,7 +288,7 @@ def statements() -> dict[str, str]:
                    replace(replace(replace(replace(
                        regexp_replace(regexp_replace(block, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g'),
                        '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as block_text
-            from (select page_id, unnest(range(len(b))) as pos, unnest(b) as block
+            from (select page_id, cast(unnest(range(len(b))) as integer) as pos, unnest(b) as block
                   from (select page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) as b from pages))""",
         "page_quarantine": """
             select url, 'no product table' as reason from pages

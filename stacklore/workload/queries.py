@@ -77,17 +77,17 @@ def stock_status_counts(spark, d):
 
 @query
 def mart_category_summary(spark, d):
-    return marts.mart_category_summary(t.dimension(spark, d))
+    return marts.mart_category_summary(t.dimension(spark, d, t.NARROW))
 
 
 @query
 def mart_price_bands(spark, d):
-    return marts.mart_price_bands(t.dimension(spark, d))
+    return marts.mart_price_bands(t.dimension(spark, d, t.NARROW))
 
 
 @query
 def mart_price_bands_single_row(spark, d):
-    return marts.mart_price_bands(t.dimension(spark, d), tie="single_row")
+    return marts.mart_price_bands(t.dimension(spark, d, t.NARROW), tie="single_row")
 
 
 @query
@@ -137,7 +137,7 @@ def incremental_load(spark, d):
     for stamp, arrived in (("a", events.filter("ts < '2024-01-15'")), ("b", events.filter("ts >= '2024-01-15'"))):
         csv_drop.write_raw_csv(arrived, root, "events", stamp)
         stored = ingest.ingest_new_files(spark, f"{root}/events", events.schema, target, checkpoint)
-    return stored.drop(csv_drop.SOURCE_FILE)
+    return stored.drop(csv_drop.SOURCE_FILE, ingest.LOAD_RUN)
 
 
 @query
@@ -158,19 +158,19 @@ def stream_latest(spark, d):
 
 @query
 def page_links(spark, d):
-    links = extract.page_links(t.table(spark, d, "pages"))
+    links = extract.page_links(t.text_table(spark, d, "pages", "page_id"))
     return links.select("url", "pos", "href")
 
 
 @query
 def url_resolve(spark, d):
-    links = extract.page_links(t.table(spark, d, "pages"))
+    links = extract.page_links(t.text_table(spark, d, "pages", "page_id"))
     return links.groupBy("target").agg(F.count(F.lit(1)).alias("n_links"))
 
 
 @query
 def page_heading(spark, d):
-    pages = t.table(spark, d, "pages")
+    pages = t.text_table(spark, d, "pages", "page_id")
     return pages.select(
         "page_id",
         inner_text(element_body(F.col("html"), "h1")).alias("heading"),
@@ -182,13 +182,13 @@ def page_heading(spark, d):
 @query
 def page_blocks(spark, d):
     blocks = F.regexp_extract_all(F.col("html"), F.lit(r"(?s)<p>(.*?)</p>"), F.lit(1))
-    found = t.table(spark, d, "pages").select("page_id", F.posexplode(blocks).alias("pos", "block"))
+    found = t.text_table(spark, d, "pages", "page_id").select("page_id", F.posexplode(blocks).alias("pos", "block"))
     return found.select("page_id", "pos", inner_text(F.col("block")).alias("block_text"))
 
 
 @query
 def page_quarantine(spark, d):
-    parsed = extract.parse_detail(t.table(spark, d, "pages"))
+    parsed = extract.parse_detail(t.text_table(spark, d, "pages", "page_id"))
     return parsed.filter("reason is not null").select("url", "reason")
 
 
@@ -196,7 +196,7 @@ def page_quarantine(spark, d):
 
 
 def _crawl(spark, d):
-    pages = materialise(t.shop_pages(spark, d), "shop-pages")
+    pages = materialise(t.shop_pages(spark, d).repartition("url"), "shop-pages")
     links = extract.extract_category_links(pages, t.SHOP, max_categories=None)
     order = extract.page_order(extract.next_page_edges(pages), links)
     return pages, links, extract.crawl_listing(pages, order, t.SHOP)
@@ -298,7 +298,7 @@ def search_docs(spark, d):
 
 @query
 def search_lexical_topk(spark, d):
-    index = lexical.build_lexical_index(t.table(spark, d, "documents"), "doc_id", "text")
+    index = lexical.build_lexical_index(t.text_table(spark, d, "documents", "doc_id"), "doc_id", "text")
     hits = lexical.search_lexical(_questions(spark, d), index, k=5)
     return hits.select("qid", "doc_id", "rank", F.round("score", 6).alias("score"))
 
@@ -347,7 +347,7 @@ def search_vector_approx(spark, d):
 
 def _snapshots(spark, d):
     """Documents before and after a change: one language arrives, one source leaves, one is edited."""
-    docs = t.table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    docs = t.text_table(spark, d, "documents", "doc_id").select("doc_id", "lang", "source", "text")
     old = docs.filter("lang <> 'de'")
     edited = F.when(F.col("source") == "src2", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     new = docs.filter("source <> 'src3'").withColumn("text", edited)
@@ -400,7 +400,7 @@ def answer_records(spark, d):
 
 @query
 def dq_not_null(spark, d):
-    return quality.not_null(t.dimension(spark, d), "upc").select("book_title", "category_id")
+    return quality.not_null(t.dimension(spark, d, ("book_title", "category_id", "upc")), "upc").select("book_title", "category_id")
 
 
 @query
@@ -415,7 +415,7 @@ def dq_accepted_values(spark, d):
 
 @query
 def dq_relationships(spark, d):
-    s = t.staged(spark, d)
+    s = t.staged(spark, d, with_text=False)
     orphans = quality.relationships(s["stg_books"], "category_id", s["stg_categories"], "category_id")
     return orphans.select("book_title", "category_id")
 
@@ -428,11 +428,10 @@ def dq_expression(spark, d):
 
 def _built(spark, d):
     staged = {
-        name: materialise(df.drop("description"), name) for name, df in t.staged(spark, d).items()
+        name: materialise(df, name) for name, df in t.staged(spark, d, with_text=False).items()
     }
-    columns = tuple(c for c in marts.DIM_COLUMNS if c != "description")
     dim = materialise(
-        marts.dim_books(staged["stg_books"], staged["stg_categories"], staged["stg_inventory"], columns),
+        marts.dim_books(staged["stg_books"], staged["stg_categories"], staged["stg_inventory"], t.NARROW),
         "dim_books",
     )
     return {

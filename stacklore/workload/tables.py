@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table with long texts, in at least as many partitions as there are cores.
+
+    Work per row is high there, and a file of one row group is one task. Inputs of many
+    files, so every large one, are left as they are.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 def _price(part: Column) -> Column:
     amount = F.round((part - 900) / 2, 2).cast("decimal(10,2)")
     return F.concat(F.lit("£"), amount.cast("string"))
@@ -67,31 +78,36 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_inventory(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """One scrape per order line; the text of the part's document as description."""
-    lines, docs = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "documents")
-    joined = lines.join(docs, F.col("l_partkey") == F.col("doc_id"), "left")
+    joined = table(spark, sf_dir, "lineitem")
+    if with_text:
+        docs = table(spark, sf_dir, "documents")
+        joined = joined.join(docs, F.col("l_partkey") == F.col("doc_id"), "left")
     key = F.col("l_partkey").cast("string")
     return joined.select(
         F.concat(F.lit("catalogue/p_"), key, F.lit("/index.html")).alias("book_url"),
         F.concat(F.lit("upc"), key).alias("upc"),
         (F.col("l_quantity").cast("int") % 8).alias("num_in_stock"),
         F.col("l_linenumber").alias("num_reviews"),
-        F.col("text").alias("description"),
+        *([F.col("text").alias("description")] if with_text else []),
         F.col("l_shipdate").alias("extracted_at"),
     )
 
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def staged(spark: SparkSession, sf_dir: str, with_text: bool = True) -> dict[str, DataFrame]:
     return {
         "stg_books": stg_books(raw_books(spark, sf_dir)),
         "stg_categories": stg_categories(raw_categories(spark, sf_dir)),
-        "stg_inventory": stg_inventory(raw_inventory(spark, sf_dir)),
+        "stg_inventory": stg_inventory(raw_inventory(spark, sf_dir, with_text)),
     }
 
 
+NARROW = tuple(c for c in DIM_COLUMNS if c != "description")
+
+
 def dimension(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = DIM_COLUMNS) -> DataFrame:
-    s = staged(spark, sf_dir)
+    s = staged(spark, sf_dir, with_text="description" in columns)
     return dim_books(s["stg_books"], s["stg_categories"], s["stg_inventory"], columns)
 
 
@@ -168,7 +184,7 @@ def shelf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per part. Size 50 has no product table, size 49 no UPC row, size 48 no page."""
-    part, docs = table(spark, sf_dir, "part"), table(spark, sf_dir, "documents")
+    part, docs = table(spark, sf_dir, "part"), text_table(spark, sf_dir, "documents", "doc_id")
     shown = part.filter("p_size <> 48").join(
         docs.select("doc_id", "text"), F.col("p_partkey") == F.col("doc_id"), "left"
     )
