@@ -72,12 +72,19 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose key has no parent row.
 
-    The right side is reduced to distinct keys; Spark broadcasts it when it is measured
-    small and otherwise splits a hot child key in the skew join.
+    Only distinct child keys meet the parent, so a hot key is one row there. The orphaned
+    keys are few in a sound table, and Spark then broadcasts them to the child scan: child
+    rows are not shuffled.
     """
-    keys = parent.filter(F.col(field).isNotNull()).select(F.col(field).alias("_pk")).distinct()
-    present = child.filter(F.col(column).isNotNull())
-    return present.join(keys, F.col(column) == F.col("_pk"), "left_anti")
+    orphans = _orphan_keys(child.select(column).distinct(), column, parent, field)
+    return child.join(orphans.select(F.col(column).alias("_fk")), F.col(column) == F.col("_fk"), "left_semi")
+
+
+def _orphan_keys(keys: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """Rows of `keys` (one per child key) without a parent; NULL is no orphan."""
+    parents = parent.select(F.col(field).alias("_pk"))
+    present = keys.filter(F.col(column).isNotNull())
+    return present.join(parents, F.col(column) == F.col("_pk"), "left_anti")
 
 
 def expression_is_true(df: DataFrame, column: str, expression: str) -> DataFrame:
@@ -181,6 +188,6 @@ def _relationship_report(
 ) -> DataFrame:
     # Count child rows per key before the join: a hot key is one row there.
     keys = child.groupBy(test.column).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = relationships(keys, test.column, parent, test.field)
+    orphans = _orphan_keys(keys, test.column, parent, test.field)
     one_row = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_f"))
     return one_row.select(F.inline(F.array(_entry(table, test, F.col("_f")))))

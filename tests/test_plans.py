@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan
+from conftest import BOOKS, CATEGORIES, INVENTORY, plan
 from pyspark.sql import functions as F
 
+from stacklore import schemas
 from stacklore.operators import lexical
 from stacklore.operators.dedup import latest_per_key
+from stacklore.operators.quality import relationships
 from stacklore.plans import marts, staging
 from stacklore.workload import tables as t
 from stacklore.workload.queries import REGISTRY
@@ -15,6 +17,16 @@ from stacklore.workload.queries import REGISTRY
 DATA = "/root/testdata/sf0.001"
 
 
+@pytest.fixture
+def fresh(spark):
+    """Fresh tables: no plan over them is cached."""
+    return {
+        "raw_books": spark.createDataFrame(BOOKS, schemas.RAW_BOOKS),
+        "raw_categories": spark.createDataFrame(CATEGORIES, schemas.RAW_CATEGORIES),
+        "raw_inventory": spark.createDataFrame(INVENTORY, schemas.RAW_INVENTORY),
+    }
+
+
 @pytest.fixture
 def merge_joins(spark):
     """Plans as for tables too large to broadcast."""
@@ -25,8 +37,8 @@ def merge_joins(spark):
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_dedup_cuts_rows_before_the_shuffle(raw):
-    text = plan(latest_per_key(raw["raw_books"], "book_url", "extracted_at"))
+def test_dedup_cuts_rows_before_the_shuffle(fresh):
+    text = plan(latest_per_key(fresh["raw_books"], "book_url", "extracted_at"))
     final, exchange, partial = text.index("Final"), text.index("Exchange hashpartitioning"), text.index("Partial")
     assert final < exchange < partial
 
@@ -37,13 +49,7 @@ def test_hot_key_sends_one_row_per_task(spark):
     )
     df = latest_per_key(hot, "k", "id")
     df.collect()
-    import re
-
-    final = df._jdf.queryExecution().executedPlan()
-    metrics = re.findall(r"shuffle records written", final.toString()) or None
-    stage = final.finalPhysicalPlan() if hasattr(final, "finalPhysicalPlan") else final
-    written = _shuffle_rows(stage)
-    assert written == 60_000 + 6, metrics
+    assert _shuffle_rows(df._jdf.queryExecution().executedPlan().finalPhysicalPlan()) == 60_000 + 6
 
 
 def _shuffle_rows(node):
@@ -53,10 +59,10 @@ def _shuffle_rows(node):
     return next((n for n in (_shuffle_rows(children.apply(i)) for i in range(children.size())) if n is not None), None)
 
 
-def test_inventory_join_reuses_the_dedup_shuffle(merge_joins, raw):
+def test_inventory_join_reuses_the_dedup_shuffle(merge_joins, fresh):
     dim = marts.dim_books(
-        staging.stg_books(raw["raw_books"]), staging.stg_categories(raw["raw_categories"]),
-        staging.stg_inventory(raw["raw_inventory"]),
+        staging.stg_books(fresh["raw_books"]), staging.stg_categories(fresh["raw_categories"]),
+        staging.stg_inventory(fresh["raw_inventory"]),
     )
     text = plan(dim)
     # One exchange per deduplicated table, and one of the joined rows for the category join.
@@ -64,8 +70,8 @@ def test_inventory_join_reuses_the_dedup_shuffle(merge_joins, raw):
     assert text.count("Exchange hashpartitioning") == 4
 
 
-def test_unused_dimensions_are_not_joined(raw):
-    s = [f(raw[n]) for f, n in (
+def test_unused_dimensions_are_not_joined(fresh):
+    s = [f(fresh[n]) for f, n in (
         (staging.stg_books, "raw_books"), (staging.stg_categories, "raw_categories"),
         (staging.stg_inventory, "raw_inventory"),
     )]
@@ -91,7 +97,9 @@ def test_hot_category_is_split_in_the_skew_join(merge_joins):
             F.col("id").cast("int").alias("category_id"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("category_name")
         )
         dim = marts.dim_books(books, cats, None, columns=("book_title", "category_id", "category_name"))
-        counted = dim.groupBy("category_id", "category_name").agg(F.count(F.lit(1)).alias("n"))
+        counted = dim.groupBy("category_id", "category_name").agg(
+            F.count(F.lit(1)).alias("n"), F.max("book_title").alias("t")
+        )
         assert counted.agg(F.sum("n")).first()[0] == 60_000
         counted.collect()
         assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
@@ -100,8 +108,17 @@ def test_hot_category_is_split_in_the_skew_join(merge_joins):
             spark.conf.unset(key)
 
 
-def test_price_bands_need_no_window(built):
-    assert "Window" not in plan(marts.mart_price_bands(built["dim_books"]))
+def test_child_rows_are_not_shuffled_to_find_orphans(spark):
+    orders, customer = t.table(spark, DATA, "orders"), t.table(spark, DATA, "customer")
+    text = plan(relationships(orders, "o_custkey", customer, "c_custkey"))
+    assert "BroadcastHashJoin" in text
+    # The one shuffle is that of distinct keys.
+    assert text.count("Exchange hashpartitioning") == 1 and "HashAggregate(keys=[o_custkey" in text
+
+
+def test_price_bands_need_no_window(spark, built):
+    dim = spark.createDataFrame([], built["dim_books"].schema)
+    assert "Window" not in plan(marts.mart_price_bands(dim))
 
 
 def test_no_cross_joins(spark):

@@ -7,12 +7,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from stacklore.operators import dense, lexical, search
 from stacklore.operators.blocks import question_blocks
 from stacklore.plans import answer as a
+from stacklore.sources.tables import list_indexes
 
 WORDS = "red blue green small large ring bolt nut gear the of and".split()
 
@@ -88,12 +89,9 @@ def test_lexical_saved_index(spark, corpus):
     lexical.save_lexical_index(index, "search_test", "book", buckets=4)
     stored = lexical.open_lexical_index(spark, "search_test", "book", "id")
     hits = lexical.search_lexical(q, stored, k=5)
-    assert ranked(hits) == tfidf_brute(docs, questions, 5)
-    from conftest import plan
-    from stacklore.sources.tables import list_indexes
-
     # Postings come bucketed by document: the sums need no shuffle, only the k best do.
     assert plan(hits).count("Exchange hashpartitioning") == 1
+    assert ranked(hits) == tfidf_brute(docs, questions, 5)
     assert [r.tableName for r in list_indexes(spark, "search_test").collect()] == ["book_search"]
 
 
