@@ -51,18 +51,18 @@ def _unit_weights(weighted: DataFrame, key: str) -> DataFrame:
 def build_lexical_index(docs: DataFrame, id_col: str, text_col: str) -> LexicalIndex:
     """Index `docs` by `text_col`; `id_col` must be unique.
 
-    Token counts are written once and read by both consumers (document frequencies and
-    weights). The join on terms is broadcast when the vocabulary is measured small and is
-    otherwise a sort-merge join whose hot terms the skew join splits.
+    Token counts and the vocabulary are written once: both are read by the weights, and
+    the vocabulary by every search. The join on terms is broadcast when the vocabulary is
+    measured small and is otherwise a sort-merge join whose hot terms the skew join splits.
+    The weights stay lazy, partitioned by document; save the index to search it repeatedly.
     """
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     counts = materialise(term_counts(keyed, "doc_id", "_text"), "term-counts")
     n_docs = docs.count()
-    terms = (
-        counts.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .select("term", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
-    )
+    found_in = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
+    # A term of every document has no weight.
+    terms = materialise(found_in.select("term", idf.alias("idf")).filter("idf > 0"), "terms")
     weighted = counts.join(terms, "term").select(
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("_w")
     )

@@ -12,6 +12,8 @@ from stacklore.operators.dense import DenseIndex, Embedder, embed, search_dense
 from stacklore.operators.lexical import LexicalIndex, search_lexical
 
 DEFAULT_LIMIT = 5
+# Rows (question, document, score, rank) broadcast at most: about 50 MB.
+BROADCAST_HITS = 500_000
 RETURN_COLUMNS = (
     "book_title", "category_name", "price_gbp", "rating_stars", "description", "stock_status",
     "num_in_stock",
@@ -50,8 +52,9 @@ def search(
 ) -> DataFrame:
     """(qid, rank, score, *columns): the k best documents of every question.
 
-    `columns` come from the indexed documents. Hits are k rows per question, so Spark
-    broadcasts them to the document scan when they are measured small.
+    `columns` come from the indexed documents. Hits are at most k rows per question; when
+    the counted questions keep that small, hits are broadcast to the document scan, so
+    that document texts are not shuffled. Beyond, both sides are joined by document id.
     """
     if isinstance(index, LexicalIndex):
         hits, docs = search_lexical(questions, index, k, where, qid, text_col), index.docs
@@ -61,7 +64,9 @@ def search(
         asked = embed(questions.select(qid, text_col), text_col, embedder, "vector")
         hits, docs = search_dense(asked, index, k, where, qid), index.rows
     found = docs.select(F.col(index.id_col).alias("_id"), *(F.col(c).alias(f"_c_{c}") for c in columns))
-    joined = hits.join(found, F.col("doc_id") == F.col("_id"))
+    if k * questions.count() <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    joined = found.join(hits, F.col("doc_id") == F.col("_id"))
     return joined.select("qid", "rank", "score", *(F.col(f"_c_{c}").alias(c) for c in columns))
 
 

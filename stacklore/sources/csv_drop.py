@@ -158,11 +158,21 @@ def load_raw(
     if purge_files:
         purge(spark, files)
     stored = spark.table(name)
-    return Loaded(stored.drop(SOURCE_FILE), load_report(stored), files)
+    # The driver's own file listing; in append mode the table holds earlier files too.
+    listed = spark.createDataFrame([(f,) for f in files], "file string")
+    loaded = stored.join(
+        listed, _path_form(F.col(SOURCE_FILE)) == _path_form(F.col("file")), "left_semi"
+    )
+    return Loaded(stored.drop(SOURCE_FILE), load_report(loaded), files)
+
+
+def _path_form(path: Column) -> Column:
+    """One spelling for local paths: file:/x and file:///x are the same file."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def load_report(stored: DataFrame) -> DataFrame:
-    """(file_name, rows_loaded), read from the one provenance column of a raw table."""
+    """(file_name, rows_loaded); reads only the provenance column of a raw table."""
     counted = stored.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows_loaded"))
     return counted.select(
         F.element_at(F.split(SOURCE_FILE, "/"), -1).alias("file_name"), "rows_loaded"
