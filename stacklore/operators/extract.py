@@ -24,7 +24,7 @@ from stacklore.functions.text import (
     url_join,
 )
 from stacklore.operators.dedup import first_seen
-from stacklore.session import materialise
+from stacklore.session import scratch_path
 
 # Chains of listing pages longer than 2**MAX_ROUNDS are taken for a loop of links.
 MAX_ROUNDS = 20
@@ -112,6 +112,8 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
     is known, so a chain of n pages takes log2(n) joins on unique page keys. Each round is
     written to the shared folder, which keeps plans short and survives lost executors.
     """
+    spark = edges.sparkSession
+    root = scratch_path(spark, "page-order")
     step = links.select(
         "category_pos", "category_id", F.col("category_url").alias("page_url"),
         F.lit(0).cast("bigint").alias("page_no"),
@@ -119,12 +121,20 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
     jump = edges.filter(F.col("next_url").isNotNull()).select(
         F.col("url").alias("_from"), F.col("next_url").alias("_to")
     )
-    reached = None
+    page_columns, link_columns = step.columns, jump.columns
     for round_no in range(MAX_ROUNDS + 1):
-        step, jump = _write_round(step, jump)
-        if step.isEmpty():
+        # One job writes the pages and the links of a round.
+        both = step.withColumn("_kind", F.lit("page")).unionByName(
+            jump.withColumn("_kind", F.lit("link")), allowMissingColumns=True
+        )
+        both.write.mode("errorifexists").parquet(f"{root}/round={round_no}")
+        written = spark.read.schema(both.schema).parquet(f"{root}/round={round_no}")
+        # All rounds so far in one scan.
+        reached = spark.read.schema(both.schema).parquet(root)
+        reached = reached.filter("_kind = 'page'").select(*page_columns)
+        if written.filter("_kind = 'page'").isEmpty():
             return reached
-        reached = step if reached is None else reached.unionByName(step)
+        jump = written.filter("_kind = 'link'").select(*link_columns)
         onward = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"))
         step = reached.join(jump, F.col("page_url") == F.col("_from")).select(
             "category_pos", "category_id", F.col("_to").alias("page_url"),
@@ -134,16 +144,6 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
     raise ValueError(f"a listing has more than {2**MAX_ROUNDS} pages: its links form a loop")
 
 
-def _write_round(step: DataFrame, jump: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Write the pages and the links of one round in a single job."""
-    both = step.withColumn("_kind", F.lit("page")).unionByName(
-        jump.withColumn("_kind", F.lit("link")), allowMissingColumns=True
-    )
-    written = materialise(both, "page-order")
-    pages = written.filter("_kind = 'page'").select(*step.columns)
-    return pages, written.filter("_kind = 'link'").select(*jump.columns)
-
-
 def listing_cards(pages: DataFrame) -> DataFrame:
     """Product cards of every page: (url, pos, title, price, rating_word, href, extracted_at)."""
     cards = F.regexp_extract_all(
