@@ -92,6 +92,7 @@ def extract_categories(pages: DataFrame, links: DataFrame) -> DataFrame:
     headings = pages.select(
         "url", element_body(header, "h1").alias("_heading"), _extracted_at(pages).alias("extracted_at")
     )
+    headings = headings.filter(F.col("_heading").isNotNull())
     joined = links.join(headings, F.col("category_url") == F.col("url"), "left")
     name = required(F.col("_heading"), "category page without heading")
     return joined.select("category_id", inner_text(name).alias("category_name"), "extracted_at")

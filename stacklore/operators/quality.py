@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stacklore.operators.joins import keep_keys
+
 
 @dataclass(frozen=True)
 class NotNull:
@@ -73,11 +75,11 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
     """Child rows whose key has no parent row.
 
     Only distinct child keys meet the parent, so a hot key is one row there. The orphaned
-    keys are few in a sound table, and Spark then broadcasts them to the child scan: child
-    rows are not shuffled.
+    keys are few in a sound table; when their count allows they are broadcast to the child
+    scan and child rows are not shuffled.
     """
     orphans = _orphan_keys(child.select(column).distinct(), column, parent, field)
-    return child.join(orphans.select(F.col(column).alias("_fk")), F.col(column) == F.col("_fk"), "left_semi")
+    return keep_keys(child, orphans, column)
 
 
 def _orphan_keys(keys: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stacklore.operators.joins import counted
+
 
 def sort_key(name: str, direction: str) -> Column:
     """NULL counts as the largest value in both directions."""
@@ -35,7 +37,8 @@ def rank_in_group(
 
     A window partitioned by `by` would sort each group in one task. Here the rows are
     first counted per distinct sort key (map-side combine), the counts are summed up in
-    two levels, and the rank is joined back:
+    two levels, and the rank is joined back, by broadcast when the counted sort keys are
+    few. `df` is read twice, so pass a stored table.
 
     * `bucket` must be a coarse, order-preserving expression of the last sort column, for
       example its value in thousands;
@@ -66,7 +69,7 @@ def rank_in_group(
     ranks = null_safe_join(fine, starts, group, "inner").select(
         *by, *names, (F.col("_start") + F.col("_within") + 1).alias(out)
     )
-    return null_safe_join(df, ranks, [*by, *names], "inner")
+    return null_safe_join(df, counted(ranks, "ranks"), [*by, *names], "inner")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stacklore.operators.dedup import first_row
 from stacklore.operators.dense import DenseIndex, Embedder, embed
+from stacklore.operators.joins import keep_keys
 from stacklore.session import has_files
 
 UPSERT, DELETE = "upsert", "delete"
@@ -100,17 +101,14 @@ def refresh_index(
     before it, so retries are harmless.
     """
     spark = docs.sparkSession
-    columns = docs.columns
-    new = docs.withColumn("_fp", fingerprint(columns))
+    new = docs.withColumn("_fp", fingerprint(docs.columns))
     old = current_rows(spark, path, key, before=version)
     changed = new
     if old is not None:
-        # Unique keys on both sides, narrow right side: an update or insert is a row whose
-        # fingerprint is not in the index under its key.
-        known = old.select(F.col(key).alias("_k"), F.col("_fp").alias("_known"))
-        changed = new.join(
-            known, (F.col(key) == F.col("_k")) & (F.col("_fp") == F.col("_known")), "left_anti"
-        )
+        # Keys and fingerprints are compared, not texts: a row is new or changed when its
+        # fingerprint is not in the index under its key. Only those rows are then picked.
+        fresh = new.select(key, "_fp").join(old.select(key, "_fp"), [key, "_fp"], "left_anti")
+        changed = keep_keys(new, fresh, key)
     log = embed(changed, text_col, embedder).withColumn("_op", F.lit(UPSERT))
     if deletes and old is not None:
         gone = old.select(key).join(docs.select(key), key, "left_anti")

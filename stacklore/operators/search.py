@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from stacklore.functions.json import flatten_json
 from stacklore.operators.dense import DenseIndex, Embedder, embed, search_dense
+from stacklore.operators.joins import BROADCAST_ROWS
 from stacklore.operators.lexical import LexicalIndex, search_lexical
 
 DEFAULT_LIMIT = 5
-# Rows (question, document, score, rank) broadcast at most: about 50 MB.
-BROADCAST_HITS = 500_000
 RETURN_COLUMNS = (
     "book_title", "category_name", "price_gbp", "rating_stars", "description", "stock_status",
     "num_in_stock",
@@ -64,7 +63,7 @@ def search(
         asked = embed(questions.select(qid, text_col), text_col, embedder, "vector")
         hits, docs = search_dense(asked, index, k, where, qid), index.rows
     found = docs.select(F.col(index.id_col).alias("_id"), *(F.col(c).alias(f"_c_{c}") for c in columns))
-    if k * questions.count() <= BROADCAST_HITS:
+    if k * questions.count() <= BROADCAST_ROWS:
         hits = F.broadcast(hits)
     joined = found.join(hits, F.col("doc_id") == F.col("_id"))
     return joined.select("qid", "rank", "score", *(F.col(f"_c_{c}").alias(c) for c in columns))

@@ -54,9 +54,19 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stacklore/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/stacklore/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, inside this application's part."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote there; DataFrames built on it end with it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:

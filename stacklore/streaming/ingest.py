@@ -3,28 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stacklore.session import has_files
-from stacklore.sources.csv_drop import (
-    READ_OPTIONS,
-    SOURCE_FILE,
-    apply_contract,
-    list_stage,
-    purge,
-    run_stamp,
-    text_schema,
-)
+from stacklore.sources.csv_drop import READ_OPTIONS, apply_contract, purge, text_schema
 
-LOAD_RUN = "_load_run"
+# The file source skips files much older than the newest one; no arrival may be skipped.
+MAX_FILE_AGE = "36500d"
 
 
 def csv_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None, clean: bool = True
 ) -> DataFrame:
     """Streaming form of the CSV contract. The source removes a file after a later batch."""
-    reader = spark.readStream.options(**READ_OPTIONS).schema(text_schema(schema))
+    reader = spark.readStream.options(**READ_OPTIONS).option("maxFileAge", MAX_FILE_AGE)
+    reader = reader.schema(text_schema(schema))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if clean:
@@ -44,29 +37,21 @@ def ingest_new_files(
     """Append all files not yet loaded to the parquet folder `target`; returns the rows there.
 
     The file sink commits a batch once, so a restart on the same checkpoint neither loses
-    nor repeats rows. Source cleaning lags one batch, so files of this run still present
-    are swept at the end; files that arrived meanwhile are not in `target` and stay. Rows
-    are partitioned by run, so the sweep reads the provenance column of one run only.
+    nor repeats rows. A finished run has loaded every file that was there at its start, so
+    those are removed (source cleaning lags one batch); later arrivals wait.
     """
-    run = run_stamp()
+    waiting = spark.read.options(**READ_OPTIONS).schema(text_schema(schema)).csv(path).inputFiles()
     stream = csv_stream(spark, path, schema, files_per_batch, clean=purge_files)
     query = (
-        stream.withColumn(LOAD_RUN, F.lit(run))
-        .writeStream.format("parquet")
-        .partitionBy(LOAD_RUN)
+        stream.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if not has_files(spark, target):
-        return spark.createDataFrame([], stream.withColumn(LOAD_RUN, F.lit(run)).schema)
-    stored = spark.read.parquet(target)
     if purge_files:
-        loaded = stored.filter(F.col(LOAD_RUN) == run).select(SOURCE_FILE).distinct()
-        waiting = list_stage(spark, path).filter("path like '%.csv'")
-        left = waiting.join(loaded, waiting["path"] == loaded[SOURCE_FILE], "left_semi")
-        # One name per file still present: a listing, not data.
-        purge(spark, [row.path for row in left.toLocalIterator()])
-    return stored
+        purge(spark, waiting)
+    if not has_files(spark, target):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.parquet(target)

@@ -97,6 +97,21 @@ def test_incremental_load_once_then_removed(spark, tmp_path):
     assert sorted(r.category_id for r in stored.collect()) == sorted([*range(6), *range(3)])
 
 
+def test_incremental_load_takes_old_and_empty_files(spark, tmp_path):
+    root, target, checkpoint = f"{tmp_path}/drop", f"{tmp_path}/raw", f"{tmp_path}/cp"
+    os.makedirs(root)
+    for name, body, at in (
+        ("old", "1,a,2024-01-01T00:00:00Z\n", 1_000_000_000), ("new", "2,b,2024-01-01T00:00:00Z\n", None), ("empty", "", None)
+    ):
+        with open(f"{root}/{name}.csv", "w") as f:
+            f.write("category_id,category_name,extracted_at\n" + body)
+        if at:
+            os.utime(f"{root}/{name}.csv", (at, at))
+    for _ in range(2):
+        stored = ingest.ingest_new_files(spark, root, schemas.RAW_CATEGORIES, target, checkpoint, files_per_batch=1)
+        assert sorted(r.category_id for r in stored.collect()) == [1, 2] and csv_files(root) == []
+
+
 def test_stream_latest_equals_batch(spark, tmp_path):
     """Ties, late rows and NULL times, over several micro-batches and a restart."""
     data = [
