@@ -77,7 +77,7 @@ def test_load_replace_append_purge(spark, tmp_path):
     def load(**how):
         return csv_drop.load_raw(spark, root, "raw_books", schemas.RAW_BOOKS, "load_test", **how)
 
-    csv_drop.write_raw_csv(books, root, "raw_books", "1", max_records_per_file=2)
+    csv_drop.write_raw_csv(books.coalesce(1), root, "raw_books", "1", max_records_per_file=2)
     drop(root, "raw_books/keep.txt", "other")
     first = load(purge_files=False)
     assert rows(first.table) == sorted(BOOKS, key=repr)
