@@ -341,7 +341,7 @@ def search_vector_topk(spark, d):
 def search_vector_approx(spark, d):
     index = dense.build_dense_index(t.table(spark, d, "embeddings"), "vec_id")
     cells = dense.build_cells(index, cells=16)
-    hits = dense.search_dense(_label_means(spark, d), cells, k=5, probes=6)
+    hits = dense.search_dense(_label_means(spark, d), cells, k=5, probes=8)
     return hits.select("qid", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
