@@ -51,12 +51,13 @@ def source_targets(sources: DataFrame) -> DataFrame:
         (F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(before), F.lit(0))).alias("_wsum"),
     )
     free = F.col("_rest").cast("double") * F.col("_w") <= F.col("_cap").cast("double") * F.col("_wsum")
-    level = left.agg(F.min_by(F.struct("_i", "_rest", "_wsum"), F.when(free, F.col("_i"))).alias("_level"))
+    level = F.min(F.when(free, F.struct("_i", "_rest", "_wsum"))).over(everything)
     target = F.when(F.col("_i") < F.col("_level._i"), F.col("_cap").cast("double")).otherwise(
         F.col("_level._rest").cast("double") * F.col("_w") / F.col("_level._wsum")
     )
-    joined = left.join(F.broadcast(level))  # one row
-    return joined.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
+    return left.withColumn("_level", level).select(
+        "source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target")
+    )
 
 
 def mixing_plan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:

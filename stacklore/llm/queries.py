@@ -5,16 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stacklore.llm import exact_dedup, mixing, sharding
+from stacklore.llm import exact_dedup, mixing, quality, sharding, toxicity
 from stacklore.llm.common import read
 
 SHARDS = 24
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    voters = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, voters).select(
+        "doc_id", toxicity.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", toxicity.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "matches",
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(read(spark, sf_dir, "documents"))
     return plan.select(
@@ -32,7 +50,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
 }
