@@ -7,4 +7,14 @@ SQL: dict[str, str] = {
         select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
                doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window g as (partition by coalesce(text, ''))""",
+    "op10_warc": """
+        with p as (
+            select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages
+        ), g as (
+            select *, sha1(html) as payload_digest, max(page_id) over (partition by html) as newest from p
+        )
+        select page_id, payload_bytes, payload_digest,
+               case when payload_bytes >= 1000 and page_id < newest then 'revisit' else 'response' end as record_type,
+               case when payload_bytes >= 1000 and page_id < newest then newest end as refers_to
+        from g""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stacklore.llm import exact_dedup, mixing, quality, sharding, toxicity
+from stacklore.llm import exact_dedup, mixing, packing, quality, sharding, toxicity, warc
 from stacklore.llm.common import read
 
 SHARDS = 24
@@ -20,6 +20,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(read(spark, sf_dir, "documents"))
 
@@ -49,10 +53,18 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op2_quality": op2_quality,
+    "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
+    "op10_warc": op10_warc,
 }
