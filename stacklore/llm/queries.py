@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stacklore.llm import exact_dedup, mixing, packing, quality, sharding, toxicity, warc
+from stacklore.llm import exact_dedup, mixing, packing, pii, quality, sharding, toxicity, warc
 from stacklore.llm.common import read
 
 SHARDS = 24
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     voters = quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -60,6 +65,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_quality": op2_quality,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
