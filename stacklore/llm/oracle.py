@@ -3,6 +3,22 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {
+    "op3_pivot_search": """
+        with parts as (
+            select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as i from embeddings
+        ), bad as (
+            select distinct vec_id from parts where x is null or not isfinite(x)
+        ), numbers as (
+            select vec_id, i, cast(floor(1024 * cast(x as double)) as bigint) as x from parts
+            where vec_id not in (select vec_id from bad)
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score
+            from numbers q join numbers c on q.i = c.i and q.vec_id <> c.vec_id
+            where q.vec_id % 100 = 0 group by all
+        )
+        select query_id, cast(row_number() over w as integer) as rank, vec_id, score from scored
+        window w as (partition by query_id order by score desc, vec_id)
+        qualify row_number() over w <= 10""",
     "op5_exact_dedup": """
         select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
                doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256

@@ -37,6 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = (*KINDS, "none")
 NONE = len(KINDS)
 SKIP_STRENGTH = 4.0  # log-potential for equal labels at the two ends of a skip edge
+SHAPE_SPAN = 2.5  # a token's shape speaks this much against a label at most, so that a skip edge can outweigh it
 CHAIN_REACH = 40  # code points between neighbours that share a chain potential
 SUFFIX_DIGITS = 7
 CONFIDENCE = 0.7
@@ -212,6 +213,7 @@ def infer(text: str, nodes: list[Node], weights: Weights) -> np.ndarray:
             local[i, node.label] = 0.0
             continue
         local[i] = weights.prior + sum((weights.node[f] for f in features(text, node) if f in weights.node), np.zeros(n))
+        local[i] = np.maximum(local[i], local[i].max() - SHAPE_SPAN)
     skip = SKIP_STRENGTH * np.eye(n)
     edges = [(a, b, skip) for a, b in skip_edges(text, nodes)]
     edges += [

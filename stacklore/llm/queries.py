@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stacklore.llm import exact_dedup, mixing, packing, pii, quality, sharding, toxicity, warc
+from stacklore.llm import exact_dedup, mixing, packing, pii, pivot_search, quality, sharding, toxicity, warc
 from stacklore.llm.common import read
 
 SHARDS = 24
@@ -25,6 +25,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return pivot_search.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality": op2_quality,
+    "op3_pivot_search": op3_pivot_search,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_toxicity": op7_toxicity,
