@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stacklore.llm import exact_dedup, mixing, packing, pii, pivot_search, quality, sharding, toxicity, warc
+from stacklore.llm import exact_dedup, jaccard_join, mixing, packing, pii, pivot_search, quality, sharding, toxicity, warc
 from stacklore.llm.common import read
 
 SHARDS = 24
@@ -38,6 +38,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(read(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_components(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     lexicon = toxicity.fit(docs, read(spark, sf_dir, "labels"))
@@ -75,6 +79,7 @@ QUERIES = {
     "op3_pivot_search": op3_pivot_search,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
