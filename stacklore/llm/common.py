@@ -14,8 +14,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 << 20
 
 
+# Rows per Arrow batch: texts may be long, and a batch is in memory several times over.
+BATCH_ROWS = "2000"
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the settings these operators are written for."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_of(docs: DataFrame, column: str = "text") -> Column:

@@ -44,7 +44,7 @@ from stacklore.session import materialise
 SHARE = 75  # per cent: 100 * intersection >= SHARE * union
 CELL_BITS = 22
 HOT = 20_000  # rows of one shingle that may meet in one task
-BLOCK = 512  # sets per block; a tile has two blocks
+BLOCK = 256  # sets per block; a tile has two blocks
 LEAF = 16
 POINT_BITS = (6, 11)  # 64 to 2,048 groups, by the sizes of the sets
 MERGE = 32  # count tables added up by one task
@@ -262,6 +262,12 @@ def tile_links(sets: list[np.ndarray], cluster: np.ndarray, left: np.ndarray, cr
     return links
 
 
+def _offsets(chunk: pa.Array) -> list[int]:
+    """Where each value of a binary array starts in its buffer."""
+    width = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+    return np.frombuffer(chunk.buffers()[1], width)[chunk.offset:chunk.offset + len(chunk) + 1].tolist()
+
+
 def verified_links(docs: DataFrame, ids: DataFrame, tiles: DataFrame, text: str, id_column: str) -> DataFrame:
     """(a, b): links between classes, enough to join their components."""
     wanted = lookup_side(ids.select(F.col("doc_id").alias("_id")), "join-ids")
@@ -277,14 +283,17 @@ def verified_links(docs: DataFrame, ids: DataFrame, tiles: DataFrame, text: str,
             )
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.group_by("cls", use_threads=False).aggregate(
-            [("shingles", "first"), ("cluster", "first"), ("block", "first"), ("ti", "first"), ("tj", "first")]
-        )
+        _, once = np.unique(table.column("cls").to_numpy(), return_index=True)  # an id may have come with two texts
+        if len(once) < table.num_rows:
+            table = table.take(pa.array(once))
         classes = table.column("cls").to_numpy()
-        members = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles_first")]
-        block, ti = table.column("block_first").to_numpy(), table.column("ti_first").to_numpy()
-        cross = bool(ti[0] != table.column("tj_first").to_numpy()[0])
-        links = tile_links(members, table.column("cluster_first").to_numpy(), block == ti, cross)
+        members = [
+            np.frombuffer(chunk.buffers()[2], np.uint64, (o[i + 1] - o[i]) // 8, o[i])
+            for chunk in table.column("shingles").chunks for o in [_offsets(chunk)] for i in range(len(chunk))
+        ]
+        block, ti = table.column("block").to_numpy(), table.column("ti").to_numpy()
+        cross = bool(ti[0] != table.column("tj").to_numpy()[0])
+        links = tile_links(members, table.column("cluster").to_numpy(), block == ti, cross)
         ends = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": classes[ends[:, 0]], "b": classes[ends[:, 1]]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
