@@ -10,14 +10,14 @@ One tree over a large corpus would not prune: every box of many texts touches ev
 the tree's upper level is a partition into clusters that no link crosses, built exactly:
 two sets with similarity 0.75 share one of the first |S| - ceil(0.75 |S|) + 1 shingles of
 either in any common order. The order is rarest first, by counts of all documents' shingles in
-CELLS hashed cells (a table of fixed size). Sets that share such a shingle are chained by size
+2**CELL_BITS hashed cells (a table of 32 MB). Sets that share such a shingle are chained by size
 where sizes allow a link, and connected chains are a cluster. Texts that only share a common
 passage do not meet, as their rare shingles come first.
 
 Scale: one shuffle of (shingle, set) for a quarter of all shingles; sets themselves move only
 for texts in clusters, once per tile. A cluster is sorted by size into blocks of BLOCK sets and
 a tile holds two blocks, so a huge cluster is many tasks, and block pairs of sizes too far
-apart are skipped. A shingle in more than HOT cells' count is salted over many tasks; its
+apart are skipped. A shingle whose cell counts more than HOT is salted over many tasks; its
 texts are chained within each salt and the salts by one hub each. Equal sets are one class
 throughout (64-bit hash of the set, and its size).
 
@@ -42,7 +42,8 @@ from stacklore.llm.shingles import Powers, mixed, shingle_set
 from stacklore.session import materialise
 
 SHARE = 75  # per cent: 100 * intersection >= SHARE * union
-CELL_BITS = 22
+CELL_BITS = 24
+FULL = 65_535  # counts stop here
 HOT = 20_000  # rows of one shingle that may meet in one task
 BLOCK = 256  # sets per block; a tile has two blocks
 LEAF = 16
@@ -69,14 +70,16 @@ def measure(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Per document (doc_id, n, cls), and per task one packed table of shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, counts = Powers(), np.zeros(1 << CELL_BITS, np.int32)
+        powers, counts = Powers(), np.zeros(1 << CELL_BITS, np.uint16)
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, seen = [], [], [np.empty(0, np.uint32)]
             for content in batch.column(1).to_pylist():
                 s = shingle_set(content, powers)
-                np.add.at(counts, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+                seen.append((s >> np.uint64(64 - CELL_BITS)).astype(np.uint32))
                 sizes.append(len(s))
                 classes.append(set_class(s) if len(s) else None)
+            cells, often = np.unique(np.concatenate(seen), return_counts=True)
+            counts[cells] = np.minimum(counts[cells] + often, FULL)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
                  pa.nulls(batch.num_rows, pa.binary())],
@@ -100,11 +103,12 @@ def shingle_counts(tables: DataFrame) -> np.ndarray:
     """Sum of the packed tables: MERGE at a time, until one is left for the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int32)
+        total = np.zeros(1 << CELL_BITS, np.uint16)
         for batch in batches:
             for packed in batch.column(0):
-                part = np.frombuffer(zlib.decompress(packed.as_py()), np.int32)
-                total = np.minimum(total.astype(np.int64) + part, np.iinfo(np.int32).max).astype(np.int32)
+                part = np.frombuffer(zlib.decompress(packed.as_py()), np.uint16)
+                total += part
+                total[total < part] = FULL
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["counts"])
 
     n = tables.count()
@@ -112,7 +116,7 @@ def shingle_counts(tables: DataFrame) -> np.ndarray:
         n = -(-n // MERGE)
         tables = materialise(tables.repartition(n).mapInArrow(add, "counts binary"), "shingle-counts")
     first = tables.first()
-    return np.zeros(1 << CELL_BITS, np.int32) if first is None else np.frombuffer(zlib.decompress(first[0]), np.int32)
+    return np.zeros(1 << CELL_BITS, np.uint16) if first is None else np.frombuffer(zlib.decompress(first[0]), np.uint16)
 
 
 def first_shingles(docs: DataFrame, counts: np.ndarray, text: str) -> DataFrame:

@@ -1,0 +1,263 @@
+"""Operators on documents: defined cases, and brute-force versions on the smallest table."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+from conftest import rows
+
+from stacklore.llm import exact_dedup, jaccard_join, mixing, packing, pii, quality, sharding, shingles, toxicity
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, label int, v string"
+LONG = "long words go on and on " * 4000
+needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no data folder")
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Nulls, empty and long texts, repeated rows and columns with clashing names."""
+    rows = [
+        (1, "a b c d e f g h", "en", "s1"), (2, "a b c d e f g h", "en", "s1"), (3, "A B C d e f g h", None, None),
+        (4, None, "en", "s1"), (5, "", "en", "s2"), (6, "  \t\n", "en", "s2"), (7, LONG, "de", "s2"),
+        (7, LONG, "de", "s2"), (None, "one two", "de", "s2"), (8, "one two", None, "s3"), (9, LONG + "x", "de", "s3"),
+    ]
+    return spark.createDataFrame([(*r, 0, "key", 1, "v") for r in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def table():
+    return pd.read_parquet(f"{DATA}/documents.parquet")
+
+
+def sets_of(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(words) < 5:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+
+
+def brute_components(documents):
+    parent = list(range(len(documents)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    sets = [sets_of(t) for _, t in documents]
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                parent[root(i)] = root(j)
+    smallest = {}
+    for i, (doc_id, _) in enumerate(documents):
+        if doc_id is not None:
+            smallest[root(i)] = min(smallest.get(root(i), doc_id), doc_id)
+    return [(d, len(sets[i]), smallest.get(root(i), d)) for i, (d, _) in enumerate(documents)]
+
+
+def test_exact_copies_of_odd_rows(odd_docs, no_docs):
+    found = rows(exact_dedup.exact_copies(odd_docs).select("doc_id", "keep_id", "group_size", "kept"))
+    assert sorted(found, key=repr) == sorted([
+        (1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 5, 2, False), (5, 5, 2, True), (6, 6, 1, True),
+        (7, 7, 2, True), (7, 7, 2, False), (None, 8, 2, False), (8, 8, 2, True), (9, 9, 1, True)], key=repr)
+    kept = exact_dedup.without_copies(odd_docs)
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == [2, 3, 5, 6, 7, 8, 9]
+    assert kept.columns == odd_docs.columns
+    assert exact_dedup.exact_copies(no_docs).count() == 0
+
+
+def test_near_components_of_odd_rows(odd_docs, no_docs):
+    found = rows(jaccard_join.near_components(odd_docs))
+    documents = [(r["doc_id"], r["text"]) for r in odd_docs.select("doc_id", "text").collect()]
+    assert found == sorted(brute_components(documents), key=repr)
+    assert jaccard_join.near_components(no_docs).count() == 0
+
+
+@needs_data
+def test_near_components_equal_brute_force(spark, table):
+    edited = [(d, t) for d, t in zip(table.doc_id.tolist(), table.text.tolist(), strict=True)]
+    extra = []
+    for doc_id, text in edited[:60]:
+        words = text.split()
+        for share in (0.02, 0.05, 0.2):
+            step = max(2, int(1 / share))
+            extra.append((10_000 + len(extra), " ".join("changed" if i % step == 1 else w for i, w in enumerate(words))))
+    documents = edited + extra
+    found = rows(jaccard_join.near_components(spark.createDataFrame(documents, "doc_id long, text string")))
+    assert found == sorted(brute_components(documents), key=repr)
+
+
+def test_tiles_find_all_links_of_a_large_cluster():
+    rng = np.random.default_rng(1)
+    base = rng.integers(1, 1 << 62, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(200) > 0.1], rng.integers(1, 1 << 62, 12).astype(np.uint64)])) for _ in range(120)]
+    links = jaccard_join.tile_links(sets, np.zeros(120, int), np.ones(120, bool), cross=False)
+
+    def groups(pairs):
+        parent = list(range(120))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+        for a, b in pairs:
+            parent[root(a)] = root(b)
+        return [root(i) for i in range(120)]
+
+    every = [(i, j) for i in range(120) for j in range(i)
+             if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))]
+    one, two = groups(links), groups(every)
+    assert len(set(zip(one, two, strict=True))) == len(set(one)) == len(set(two))
+
+
+def test_shingles_equal_word_sets():
+    powers = shingles.Powers()
+    for text in ("", " ", "a", "A b\x0bc", "x y z a b c", "é è b c d e f", "a a a a a a a"):
+        assert len(shingles.shingle_set(text, powers)) == len(sets_of(text))
+    same = [shingles.shingle_set(t, powers).tolist() for t in ("One two THREE", "one two three")]
+    assert same[0] == same[1]
+
+
+def test_mixing_of_odd_rows(odd_docs, no_docs):
+    plan = mixing.mixing_plan(odd_docs)
+    sizes = Counter()
+    targets = {}
+    for r in plan.collect():
+        sizes[r["source"]] += r["size"]
+        targets[r["source"]] = (r["source_size"], r["target"])
+        assert 0 <= r["copies"] <= 3
+    assert all(targets[s][0] == n and targets[s][1] <= 3 * n + 1e-9 for s, n in sizes.items())
+    assert sum(t for _, t in targets.values()) == pytest.approx(sum(sizes.values()))
+    assert mixing.mix(odd_docs).columns == odd_docs.columns
+    assert mixing.mix(no_docs).count() == 0
+
+
+def test_targets_stop_at_three_sizes(spark):
+    sizes = {"a": 10, "b": 1000, "c": 5, None: 985, "d": 0}
+    found = {r["source"]: r["target"] for r in mixing.source_targets(
+        spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    weights = {"a": 1, "b": 2, "c": 3, "d": 1, None: 2}
+    free, rest, want = dict(weights), float(sum(sizes.values())), {}
+    while True:
+        share = {s: rest * w / sum(free.values()) for s, w in free.items()}
+        over = [s for s in share if share[s] > 3 * sizes[s]]
+        if not over:
+            want.update(share)
+            break
+        for s in over:
+            want[s] = 3.0 * sizes[s]
+            rest -= want[s]
+            free.pop(s)
+    assert found == pytest.approx(want)
+
+
+def test_shards_are_a_permutation(odd_docs, no_docs, spark):
+    docs = spark.range(1000).selectExpr("id as doc_id", "cast(id as string) as text")
+    keys = sharding.document_keys(docs)
+    found = sharding.shard_rows(keys, ["doc_id", "text_crc32", "size"], 24).toPandas()
+    assert sorted(found.slot * 24 + found.shard) == list(range(1000))
+    assert (found.text_crc32 == found.doc_id.map(lambda i: zlib.crc32(str(i).encode()))).all()
+    again = sharding.shard_rows(keys.repartition(3), ["doc_id", "text_crc32", "size"], 24).toPandas()
+    assert found.sort_values("doc_id").values.tolist() == again.sort_values("doc_id").values.tolist()
+    odd = sharding.shard_rows(sharding.document_keys(odd_docs), ["doc_id", "text_crc32", "size"], 24)
+    assert sorted(r["shard"] for r in odd.collect()) == list(range(11))
+    assert sharding.shard_rows(sharding.document_keys(no_docs), ["doc_id"], 24).count() == 0
+
+
+def test_packing_of_odd_rows(odd_docs, no_docs):
+    pieces = packing.pack(odd_docs).toPandas()
+    for _, group in pieces.groupby("sequence_id"):
+        group = group.sort_values("offset")
+        assert group.offset.tolist() == [0, *group.length.cumsum().tolist()[:-1]]
+        assert group.length.sum() <= packing.LENGTH
+    assert pieces.length.sum() == pieces[pieces.start == 0].doc_tokens.sum()
+    assert packing.pack(no_docs).count() == 0
+
+
+@needs_data
+def test_packed_ids_are_the_tokenizer_s(spark, table, monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "false")
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    encoded = tokenizer.encode_batch(table.text.tolist(), add_special_tokens=False)
+    ids = {d: np.array([*e.ids, 1], "<u4") for d, e in zip(table.doc_id, encoded, strict=True)}
+    pieces = packing.pack(spark.read.parquet(f"{DATA}/documents.parquet")).collect()
+    seen = Counter()
+    for r in pieces:
+        data = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert zlib.crc32(data.tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(ids[r["doc_id"]])
+        seen[r["doc_id"]] += r["length"]
+    assert seen == {d: len(v) for d, v in ids.items()}
+
+
+def test_hilbert_is_a_curve():
+    grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    order = grid[np.argsort(packing.hilbert(grid, 3))]
+    assert len(set(packing.hilbert(grid, 3))) == 512
+    assert (np.abs(np.diff(order, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_base_spans_and_skip_edges(odd_docs, no_docs):
+    text = "mail a.b@c.example.com, +1 (988) 555-2485 and 988-555-2485, 4041894974608795, 10.0.0.256 1.2.3.4"
+    spans = pii.base_spans(text)
+    assert [(pii.LABELS[k], text[s:e]) for k, s, e in spans] == [
+        ("email", "a.b@c.example.com"), ("ip", "1.2.3.4"), ("card", "4041894974608795"), ("phone", "+1 (988) 555-2485")]
+    weights = pii.Weights.from_counts({("any", k): 10 for k in range(5)}, {})
+    added = pii.added_spans(text, spans, weights)
+    assert [(pii.LABELS[k], text[s:e]) for k, s, e in added] == [("phone", "988-555-2485")]
+    found = pii.find(odd_docs, pii.fit(odd_docs))
+    empty = hashlib.sha256(b"").hexdigest()
+    assert {(r["base_sha256"], r["spans"]) for r in found.collect()} == {(empty, "")}
+    assert pii.find(no_docs, weights).count() == 0
+    assert pii.base_spans("9" * 200_000 + "a" * 200_000 + "@") == []
+
+
+def test_lexicon_folds_and_excepts():
+    assert toxicity.fold("You 1d10t, Ïdíot! ıdiot") == " you idiot idiot idiot "
+    lexicon = toxicity.Lexicon({" trash ": 5.0, " idio": 4.0}, ("trash can",))
+    automaton = lexicon.automaton()
+    assert toxicity.matched(toxicity.fold("the trash can, you tr4sh id1ots"), automaton) == (9.0, 2)
+    assert toxicity.features(None, automaton) == (0.0, 0.0, 0)
+
+
+def test_scores_of_odd_rows(odd_docs, no_docs, spark):
+    labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (5, 0, 1), (9, 0, 1)], "doc_id long, quality int, toxic int")
+    for docs, n in ((odd_docs, 11), (no_docs, 0)):
+        lexicon = toxicity.fit(docs, labels)
+        voters = quality.fit(docs, labels)
+        for scored in (toxicity.score(docs, lexicon), quality.score(docs, voters)):
+            values = [r["score"] for r in scored.collect()]
+            assert len(values) == n and all(0 <= v <= 1 for v in values)
+
+
+@needs_data
+def test_quality_on_held_out_rows():
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no data folder")
+    docs = pd.read_parquet(f"{folder}/documents.parquet").merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
+    held = docs.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)
+    train, test = docs[~held].head(1500), docs[held].head(400)
+    voters = quality.build(np.array([quality.terms(t) for t in train.text]), train.quality.to_numpy())
+    vectors = np.array([quality.terms(t) for t in test.text]) @ voters.weights
+    scores = quality.vote(vectors / np.linalg.norm(vectors, axis=1, keepdims=True), voters)
+    assert ((scores >= 0.3) == (test.quality == 1)).mean() > 0.95
