@@ -87,7 +87,8 @@ def search_dense(
     )
     found: list[DataFrame] = []
     # Written once: the blocks are counted and read from it.
-    asked = materialise(questions.select(qid, vector_col), "question-vectors")
+    # Questions without a vector match nothing and fill no block.
+    asked = materialise(questions.filter(F.col(vector_col).isNotNull()).select(qid, vector_col), "question-vectors")
     for part in question_blocks(asked, qid, block_vectors):
         block = _collect_block(part, qid, vector_col)
         picked = rows.select(index.id_col, index.vector_col)
