@@ -14,10 +14,16 @@ CELLS hashed cells (a table of fixed size). Sets that share such a shingle are c
 where sizes allow a link, and connected chains are a cluster. Texts that only share a common
 passage do not meet, as their rare shingles come first.
 
-Scale: one shuffle of (shingle, set) for a quarter of all shingles; sets themselves move only
-for texts in clusters, once per tile. A cluster is sorted by size into blocks of BLOCK sets and
-a tile holds two blocks, so a huge cluster is many tasks, and block pairs of sizes too far
-apart are skipped. A shingle in more than HOT cells' count is salted over many tasks; its
+Inside a cluster the points alone are compared first, and the pairs whose bound allows a link
+split it into parts. A point has about a group for every three shingles and a byte for each
+group: a thirtieth of its set. Sets move for the parts only, to be verified there.
+
+Scale: one shuffle of (shingle, set) for a quarter of all shingles; points move for texts in
+clusters, sets for texts in parts, once per tile. A cluster or part is sorted by size into
+blocks of at most BLOCK sets, fewer where sets are large, and a tile holds two blocks, so a
+huge one is many tasks, and block pairs of sizes too far apart are skipped. Tiles of one block
+or two neighbouring ones come first; of the others, those whose blocks are in one component by
+then have nothing left to find. A shingle in more than HOT cells' count is salted over many tasks; its
 texts are chained within each salt and the salts by one hub each. Equal sets are one class
 throughout (64-bit hash of the set, and its size).
 
@@ -45,8 +51,9 @@ SHARE = 75  # per cent: 100 * intersection >= SHARE * union
 CELL_BITS = 22
 HOT = 20_000  # rows of one shingle that may meet in one task
 BLOCK = 256  # sets per block; a tile has two blocks
+WIDE = 4096  # shingles beyond which a block has a quarter of the sets, and so on by fours
 LEAF = 16
-POINT_BITS = (6, 11)  # 64 to 2,048 groups, by the sizes of the sets
+POINT_BITS = (6, 14)  # 64 to 16,384 groups, by the size of the set
 MERGE = 32  # count tables added up by one task
 
 
@@ -65,27 +72,46 @@ def set_class(s: np.ndarray) -> int:
     return int(mixed(np.array([total + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
+def point_bits(n: int) -> int:
+    """log2 of a point's groups. Sizes that a link allows differ by one at most."""
+    return min(max((n // 4).bit_length(), POINT_BITS[0]), POINT_BITS[1])
+
+
+def packed_point(s: np.ndarray) -> bytes:
+    """Counts of a set's shingles per group, a byte each unless one is larger."""
+    groups = np.uint64((1 << point_bits(len(s))) - 1)
+    counts = np.bincount((s & groups).astype(np.int64), minlength=int(groups) + 1)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def unpacked_point(packed: bytes, n: int) -> np.ndarray:
+    kind = np.uint8 if len(packed) == 1 << point_bits(n) else np.uint32
+    return np.frombuffer(packed, kind).astype(np.int32)
+
+
 def measure(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Per document (doc_id, n, cls), and per task one packed table of shingle counts."""
+    """Per document (doc_id, n, cls, point), and per task one packed table of shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, counts = Powers(), np.zeros(1 << CELL_BITS, np.int32)
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, points = [], [], []
             for content in batch.column(1).to_pylist():
                 s = shingle_set(content, powers)
                 np.add.at(counts, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
                 sizes.append(len(s))
                 classes.append(set_class(s) if len(s) else None)
+                points.append(packed_point(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
-                 pa.nulls(batch.num_rows, pa.binary())],
-                names=["doc_id", "n", "cls", "counts"],
+                 pa.array(points, pa.binary()), pa.nulls(batch.num_rows, pa.binary())],
+                names=["doc_id", "n", "cls", "point", "counts"],
             )
         packed = zlib.compress(counts.tobytes(), 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([packed], pa.binary())],
-            names=["doc_id", "n", "cls", "counts"],
+            [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+             pa.array([packed], pa.binary())],
+            names=["doc_id", "n", "cls", "point", "counts"],
         )
 
     chosen = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
@@ -93,7 +119,7 @@ def measure(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
     kind = to_arrow_type(chosen.schema["doc_id"].dataType)
     name = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {name}, n long, cls long, counts binary")
+    return chosen.mapInArrow(run, f"doc_id {name}, n long, cls long, point binary, counts binary")
 
 
 def shingle_counts(tables: DataFrame) -> np.ndarray:
@@ -166,25 +192,67 @@ def cluster_edges(keys: DataFrame) -> DataFrame:
     return kept.filter("prev is not null").select(F.col("prev").alias("a"), F.col("cls").alias("b")).unionByName(across)
 
 
-def tiles_of(members: DataFrame) -> DataFrame:
-    """(cls, cluster, block, ti, tj) for (cluster, n, cls): the tiles each set takes part in."""
+def blocks_of(members: DataFrame) -> DataFrame:
+    """(cluster, n, cls, block) for (cluster, n, cls): blocks of few enough sets, by size."""
     numbered, _ = with_row_numbers(members, ["cluster", "n", "cls"], "join-members", "_row")
-    placed = materialise(
-        numbered.withColumn("block", F.floor(F.col("_row") / BLOCK).cast("long")).drop("_row"), "join-blocks"
+    # A block's sets halve twice for each step of size; steps are apart in their numbers.
+    step = F.lit(0)
+    for i in range(BLOCK.bit_length() // 2):
+        step = step + (F.col("n") > WIDE * 4**i).cast("int")
+    numbered = numbered.withColumn("_step", step.cast("long"))
+    within = F.floor(F.col("_row") * F.pow(F.lit(4), F.col("_step")) / BLOCK).cast("long")
+    return materialise(
+        numbered.withColumn("block", F.col("_step") * (1 << 56) + within).drop("_row", "_step"), "join-blocks"
     )
+
+
+def tile_pairs(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cluster, ti, tj) of two blocks whose sizes allow links: neighbouring blocks, and others."""
     spans = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    other = spans.select("cluster", F.col("block").alias("next"), F.col("low").alias("next_low"))
-    reach = spans.join(other, "cluster").filter(
-        (F.col("next") > F.col("block")) & (100 * F.col("high") >= SHARE * F.col("next_low"))
+    order = Window.partitionBy("cluster").orderBy("block")
+    spans = materialise(spans.withColumn("at", F.row_number().over(order)), "join-spans")
+    other = spans.select("cluster", F.col("block").alias("tj"), F.col("at").alias("to"), F.col("low").alias("to_low"))
+    reach = spans.withColumnRenamed("block", "ti").join(other, "cluster").filter(
+        (F.col("to") > F.col("at")) & (100 * F.col("high") >= SHARE * F.col("to_low"))
     )
-    ends = reach.select("cluster", F.explode(F.array(
-        F.struct(F.col("block").alias("at"), F.col("block").alias("ti"), F.col("next").alias("tj")),
-        F.struct(F.col("next").alias("at"), F.col("block").alias("ti"), F.col("next").alias("tj")),
-    )).alias("t")).select("cluster", F.col("t.at").alias("block"), "t.ti", "t.tj")
-    across = placed.join(ends, ["cluster", "block"]).select("cls", "cluster", "block", "ti", "tj")
-    return across.unionByName(
-        placed.select("cls", "cluster", "block", F.col("block").alias("ti"), F.col("block").alias("tj"))
+    reach = materialise(reach.select("cluster", "ti", "tj", (F.col("to") - F.col("at") == 1).alias("near")), "join-reach")
+    return reach.filter("near").drop("near"), reach.filter("not near").drop("near")
+
+
+def sent_to(placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, n, cluster, block, ti, tj): each set once per tile of two blocks it takes part in."""
+    ends = pairs.select("cluster", F.explode(F.array("ti", "tj")).alias("block"), "ti", "tj")
+    return placed.join(ends, ["cluster", "block"]).select("cls", "n", "cluster", "block", "ti", "tj")
+
+
+def open_pairs(placed: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The tiles whose two blocks are not yet in one component of `roots` (v, root)."""
+    rooted = placed.join(lookup_side(roots, "join-so-far"), F.col("cls") == F.col("v"), "left")
+    ends = rooted.withColumn("root", F.coalesce("root", "cls")).groupBy("cluster", "block").agg(
+        F.min("root").alias("r0"), F.max("root").alias("r1")
     )
+    i, j = (ends.select("cluster", F.col("block").alias(t), F.struct("r0", "r1").alias(f"r{t}")) for t in ("ti", "tj"))
+    both = pairs.join(i, ["cluster", "ti"]).join(j, ["cluster", "tj"])
+    done = (F.col("rti.r0") == F.col("rti.r1")) & (F.col("rtj.r0") == F.col("rtj.r1")) & (
+        F.col("rti.r0") == F.col("rtj.r0"))
+    return both.filter(~done).select("cluster", "ti", "tj")
+
+
+def tiled_components(members: DataFrame, links_of, label: str) -> DataFrame:
+    """(v, root) of the classes that `links_of` links inside the clusters of (cluster, n, cls).
+
+    `links_of` takes rows (cls, n, cluster, block, ti, tj) and gives (a, b) for each tile.
+    """
+    placed = blocks_of(members)
+    near, far = tile_pairs(placed)
+    own = placed.select("cls", "n", "cluster", "block", F.col("block").alias("ti"), F.col("block").alias("tj"))
+    found = materialise(links_of(own.unionByName(sent_to(placed, near))), f"{label}-links")
+    roots = materialise(components(found, label), f"{label}-roots")
+    if far.isEmpty():
+        return roots
+    rest = materialise(links_of(sent_to(placed, open_pairs(placed, far, roots))), f"{label}-more")
+    joined = roots.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(rest)
+    return materialise(components(joined, label), f"{label}-roots")
 
 
 class Leaves:
@@ -235,6 +303,41 @@ def candidate_pairs(a: Leaves, b: Leaves, same: bool) -> Iterator[tuple[np.ndarr
             yield x, y
 
 
+def tile_candidates(
+    points: list[np.ndarray], sizes: np.ndarray, cluster: np.ndarray, left: np.ndarray, cross: bool
+) -> list[tuple[int, int]]:
+    """Pairs of a tile whose points allow a link, enough to join their components."""
+    parent, links = np.arange(len(points)), []
+    bits = np.array([len(p).bit_length() - 1 for p in points])
+    for c in np.unique(cluster):
+        inside = np.flatnonzero(cluster == c)
+        for level in np.unique(bits[inside]):
+            trees = {}
+            for name, at, half in (("own", level, False), ("above", level + 1, True)):
+                for side in (True, False) if cross else (True,):
+                    rows = inside[(bits[inside] == at) & ((left[inside] == side) | (not cross))]
+                    if len(rows):
+                        whole = np.array([points[i] for i in rows])
+                        folded = whole.reshape(len(rows), 2, -1).sum(axis=1) if half else whole
+                        trees[name, side] = rows, Leaves(folded, sizes[rows])
+            if cross:
+                pairs = [(("own", True), ("own", False)), (("own", True), ("above", False)), (("above", True), ("own", False))]
+            else:
+                pairs = [(("own", True), ("own", True)), (("own", True), ("above", True))]
+            for a, b in pairs:
+                if a not in trees or b not in trees:
+                    continue
+                (rows_a, tree_a), (rows_b, tree_b) = trees[a], trees[b]
+                for x, y in candidate_pairs(tree_a, tree_b, a == b):
+                    x, y = rows_a[x], rows_b[y]
+                    apart = parent[x] != parent[y]
+                    for p, q in zip(x[apart], y[apart], strict=True):
+                        if parent[p] != parent[q]:
+                            links.append((int(p), int(q)))
+                            parent[parent == parent[q]] = parent[p]
+    return links
+
+
 def tile_links(sets: list[np.ndarray], cluster: np.ndarray, left: np.ndarray, cross: bool) -> list[tuple[int, int]]:
     """Verified links that join components of a tile; `left` marks its first block."""
     parent = np.arange(len(sets))
@@ -268,10 +371,45 @@ def _offsets(chunk: pa.Array) -> list[int]:
     return np.frombuffer(chunk.buffers()[1], width)[chunk.offset:chunk.offset + len(chunk) + 1].tolist()
 
 
-def verified_links(docs: DataFrame, ids: DataFrame, tiles: DataFrame, text: str, id_column: str) -> DataFrame:
+def _numbers(table: pa.Table, ends: list[tuple[int, int]], classes: np.ndarray) -> pa.Table:
+    pairs = np.array(ends, np.int64).reshape(-1, 2)
+    return pa.table(
+        {"a": classes[pairs[:, 0]], "b": classes[pairs[:, 1]]}, pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    )
+
+
+def _once(table: pa.Table) -> pa.Table:
+    """One row per class: an id may have come with several texts."""
+    _, first = np.unique(table.column("cls").to_numpy(), return_index=True)
+    return table if len(first) == table.num_rows else table.take(pa.array(first))
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Each row's cluster, whether it is of the tile's first block, and whether the tile has two."""
+    block, ti = table.column("block").to_numpy(), table.column("ti").to_numpy()
+    return table.column("cluster").to_numpy(), block == ti, bool(ti[0] != table.column("tj").to_numpy()[0])
+
+
+def point_links(points: DataFrame, tiles: DataFrame) -> DataFrame:
+    """(a, b): pairs of classes whose points (cls, point) allow a link, enough to join their components."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = _once(table)
+        sizes = table.column("n").to_numpy()
+        members = [unpacked_point(p, n) for p, n in zip(table.column("point").to_pylist(), sizes.tolist(), strict=True)]
+        return _numbers(table, tile_candidates(members, sizes, *_sides(table)), table.column("cls").to_numpy())
+
+    rows = points.join(lookup_side(tiles, "join-tiles"), "cls")
+    return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long")
+
+
+def verified_links(docs: DataFrame, members: DataFrame, tiles: DataFrame, text: str, id_column: str) -> DataFrame:
     """(a, b): links between classes, enough to join their components."""
-    wanted = lookup_side(ids.select(F.col("doc_id").alias("_id")), "join-ids")
-    chosen = docs.join(wanted, docs[id_column].eqNullSafe(F.col("_id")), "left_semi").select(docs[text].alias("text"))
+    side = lookup_side(tiles, "join-tiles")
+    ids = members.join(side.select("cls").distinct(), "cls", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
+    chosen = docs.join(
+        lookup_side(ids, "join-ids"), docs[id_column].eqNullSafe(F.col("_id")), "left_semi"
+    ).select(docs[text].alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -283,21 +421,13 @@ def verified_links(docs: DataFrame, ids: DataFrame, tiles: DataFrame, text: str,
             )
 
     def compare(table: pa.Table) -> pa.Table:
-        _, once = np.unique(table.column("cls").to_numpy(), return_index=True)  # an id may have come with two texts
-        if len(once) < table.num_rows:
-            table = table.take(pa.array(once))
-        classes = table.column("cls").to_numpy()
-        members = [
+        table = _once(table)
+        sets_here = [
             np.frombuffer(chunk.buffers()[2], np.uint64, (o[i + 1] - o[i]) // 8, o[i])
             for chunk in table.column("shingles").chunks for o in [_offsets(chunk)] for i in range(len(chunk))
         ]
-        block, ti = table.column("block").to_numpy(), table.column("ti").to_numpy()
-        cross = bool(ti[0] != table.column("tj").to_numpy()[0])
-        links = tile_links(members, table.column("cluster").to_numpy(), block == ti, cross)
-        ends = np.array(links, np.int64).reshape(-1, 2)
-        return pa.table({"a": classes[ends[:, 0]], "b": classes[ends[:, 1]]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return _numbers(table, tile_links(sets_here, *_sides(table)), table.column("cls").to_numpy())
 
-    side = lookup_side(tiles, "join-tiles")
     rows = chosen.mapInArrow(sets, "cls long, shingles binary").join(side, "cls")
     return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long")
 
@@ -313,13 +443,23 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         inside.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("root").alias("cluster")),
         "join-classes",
     )
-    tiles = tiles_of(members.select("cluster", "n", "cls"))
-    links = verified_links(docs, members.select("doc_id").distinct(), tiles, text, id_column)
-    linked = components(links, "join-links").withColumnsRenamed({"v": "_v", "root": "_root"})
+    chosen = lookup_side(members.select("cls", F.col("doc_id").alias("_id")), "join-chosen")
+    points = measured.filter("cls is not null").select("doc_id", "cls", "point").join(chosen, "cls").filter(
+        F.col("doc_id").eqNullSafe(F.col("_id"))
+    ).select("cls", "point")
+    parts = tiled_components(
+        members.select("cluster", "n", "cls"), lambda tiles: point_links(points, tiles), "join-parts"
+    ).withColumnRenamed("root", "part")
+    closer = members.drop("cluster").join(lookup_side(parts, "join-part"), F.col("cls") == F.col("v")).select(
+        F.col("part").alias("cluster"), "n", "cls"
+    )
+    linked = tiled_components(
+        closer, lambda tiles: verified_links(docs, members, tiles, text, id_column), "join-linked"
+    ).withColumnsRenamed({"v": "_v", "root": "_root"})
     rooted = rows.join(lookup_side(linked, "join-linked"), F.col("cls") == F.col("_v"), "left").select(
         "doc_id", "n", F.coalesce("_root", "cls").alias("part")
     )
-    rooted = materialise(rooted, "join-parts")
+    rooted = materialise(rooted, "join-result-parts")
     several = rooted.filter("part is not null").groupBy("part").agg(
         F.min("doc_id").alias("_smallest"), F.count(F.lit(1)).alias("_n")
     ).filter("_n > 1").select(F.col("part").alias("_part"), "_smallest")
