@@ -2,11 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stacklore.session import materialise
 
+LOCAL_ENDS = 200_000  # ends of edges that a task holds before it gives its stars
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The task's edges as stars (root, member), so that long paths cost fewer rounds."""
+    parent: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        top = v
+        while parent[top] != top:
+            top = parent[top]
+        while parent[v] != top:
+            parent[v], v = top, parent[v]
+        return top
+
+    def given() -> pa.RecordBatch:
+        pairs = [(root(v), v) for v in parent]
+        pairs = [(a, b) for a, b in pairs if a != b]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"]
+        )
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+        if len(parent) > LOCAL_ENDS:
+            yield given()
+            parent.clear()
+    yield given()
+
 
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -18,8 +54,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     Each round is a few joins on counted minima and is written to the shared folder, so that
     a lost executor repeats one round. Rounds grow with the logarithm of the longest path.
     """
-    ordered = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-    current = materialise(ordered, label)
+    ordered = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b")
+    current = materialise(ordered.mapInArrow(_stars, "a long, b long").distinct(), label)
     seen = _fingerprint(current)
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -250,7 +250,10 @@ def tiled_components(members: DataFrame, links_of, label: str) -> DataFrame:
     roots = materialise(components(found, label), f"{label}-roots")
     if far.isEmpty():
         return roots
-    rest = materialise(links_of(sent_to(placed, open_pairs(placed, far, roots))), f"{label}-more")
+    still = materialise(open_pairs(placed, far, roots), f"{label}-open")
+    if still.isEmpty():
+        return roots
+    rest = materialise(links_of(sent_to(placed, still)), f"{label}-more")
     joined = roots.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(rest)
     return materialise(components(joined, label), f"{label}-roots")
 
