@@ -6,7 +6,7 @@ runs where the page is read and only narrow records move between executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stacklore.functions.text import (
@@ -23,12 +23,9 @@ from stacklore.functions.text import (
     stripped_pieces,
     url_join,
 )
-from stacklore.operators.dedup import first_seen
+from stacklore.operators.dedup import first_seen, latest_per_key
 from stacklore.session import scratch_path
 
-# Chains of listing pages longer than 2**MAX_ROUNDS are taken for a loop of links.
-MAX_ROUNDS = 20
-
 
 def required(value: Column, message: str) -> Column:
     """Fail the job when `value` is missing."""
@@ -53,7 +50,7 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 
 def extract_category_links(
-    pages: DataFrame, base_url: str, max_categories: int | None = 3
+    pages: DataFrame, base_url: str, max_categories: int | None = None
 ) -> DataFrame:
     """Category links of the home page: (category_pos, category_id, category_url).
 
@@ -92,18 +89,19 @@ def extract_categories(pages: DataFrame, links: DataFrame) -> DataFrame:
     headings = pages.select(
         "url", element_body(header, "h1").alias("_heading"), _extracted_at(pages).alias("extracted_at")
     )
-    headings = headings.filter(F.col("_heading").isNotNull())
+    headings = latest_per_key(headings, "url", "extracted_at").filter(F.col("_heading").isNotNull())
     joined = links.join(headings, F.col("category_url") == F.col("url"), "left")
     name = required(F.col("_heading"), "category page without heading")
     return joined.select("category_id", inner_text(name).alias("category_name"), "extracted_at")
 
 
 def next_page_edges(pages: DataFrame) -> DataFrame:
-    """(url, next_url) for every page; NULL on the last page of a listing."""
+    """(url, next_url) for every page by its latest fetch; NULL on the last page of a listing."""
     item = element_body(F.col("html"), "li", "next")
     href = attribute(first_match(item, r"(?s)<a\b[^>]*>"), "href")
-    found = pages.select("url", decode_entities(href).alias("_href"))
-    return found.select("url", url_join(F.col("url"), F.col("_href")).alias("next_url"))
+    found = pages.select("url", decode_entities(href).alias("_href"), _extracted_at(pages).alias("_at"))
+    found = found.select("url", url_join(F.col("url"), F.col("_href")).alias("next_url"), "_at")
+    return latest_per_key(found, "url", "_at", ["next_url"]).drop("_at")
 
 
 def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
@@ -123,7 +121,9 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
         F.col("url").alias("_from"), F.col("next_url").alias("_to")
     )
     page_columns, link_columns = step.columns, jump.columns
-    for round_no in range(MAX_ROUNDS + 1):
+    # A chain has at most one page more than links, and one round more finds its end; any beyond is in a loop.
+    n_links = jump.count()
+    for round_no in range(n_links.bit_length() + 2):
         # One job writes the pages and the links of a round.
         both = step.withColumn("_kind", F.lit("page")).unionByName(
             jump.withColumn("_kind", F.lit("link")), allowMissingColumns=True
@@ -142,23 +142,29 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
             (F.col("page_no") + F.lit(2**round_no)).alias("page_no"),
         )
         jump = jump.join(onward, F.col("_to") == F.col("_mid")).select("_from", F.col("_end").alias("_to"))
-    raise ValueError(f"a listing has more than {2**MAX_ROUNDS} pages: its links form a loop")
+    raise ValueError(f"a listing goes on after {n_links} links: its links form a loop")
 
 
 def listing_cards(pages: DataFrame) -> DataFrame:
-    """Product cards of every page: (url, pos, title, price, rating_word, href, extracted_at)."""
+    """Product cards of every page by its latest fetch: (url, pos, title, price, rating_word, href, extracted_at)."""
     cards = F.regexp_extract_all(
         F.col("html"), F.lit(rf"(?s){open_tag('article', 'product_pod')}.*?</article\s*>"), F.lit(0)
     )
-    found = pages.select(
-        "url", F.posexplode(cards).alias("pos", "_card"), _extracted_at(pages).alias("extracted_at")
+    # A page without cards keeps a row, so that it can replace an older fetch that had some.
+    # The fetch is numbered before its cards are apart.
+    fetches = pages.withColumn("_fetch", F.monotonically_increasing_id())
+    found = fetches.select(
+        "url", "_fetch", F.xxhash64("html").alias("_text"),
+        F.posexplode_outer(cards).alias("pos", "_card"), _extracted_at(pages).alias("extracted_at"),
     )
     card = F.col("_card")
     anchor = first_match(element_body(card, "h3"), r"(?s)<a\b[^>]*>")
     rating = attribute(first_match(card, open_tag("p", "star-rating")), "class")
     classes = F.split(F.regexp_replace(rating, r"^\s+|\s+$", ""), r"\s+")
-    return found.select(
+    records = found.select(
         "url",
+        "_fetch",
+        "_text",
         "pos",
         decode_entities(attribute(anchor, "title")).alias("title"),
         inner_text(element_body(card, "p", "price_color")).alias("price"),
@@ -166,6 +172,9 @@ def listing_cards(pages: DataFrame) -> DataFrame:
         decode_entities(attribute(anchor, "href")).alias("href"),
         "extracted_at",
     )
+    order = Window.partitionBy("url").orderBy(F.col("extracted_at").desc_nulls_first(), "_text", "_fetch")
+    latest = records.withColumn("_rank", F.rank().over(order)).filter((F.col("_rank") == 1) & F.col("pos").isNotNull())
+    return latest.drop("_rank", "_fetch", "_text")
 
 
 def crawl_listing(pages: DataFrame, order: DataFrame, base_url: str) -> DataFrame:
@@ -244,10 +253,11 @@ def parse_detail(pages: DataFrame) -> DataFrame:
         .when(F.col("num_in_stock").isNull(), F.lit("stock is not an integer"))
         .when(F.col("num_reviews").isNull(), F.lit("reviews are not an integer"))
     )
-    return fields.select(
+    found = fields.select(
         "url", "upc", "num_in_stock", "num_reviews", "description", "extracted_at",
         reason.alias("reason"),
     )
+    return latest_per_key(found, "url", "extracted_at")
 
 
 def _table_value(cells: Column, label: str) -> Column:

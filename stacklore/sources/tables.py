@@ -38,9 +38,18 @@ def truncate_table(spark: SparkSession, name: str) -> None:
 
 
 def overwrite_table(df: DataFrame, name: str) -> DataFrame:
-    """Full rebuild of a table; truncate and write are one step."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Full rebuild of a table: written beside it under another name, which then takes its place.
+
+    A rebuild that fails leaves the table as it was.
+    """
+    spark = df.sparkSession
+    bare = name.rstrip("`")
+    fresh = f"{bare}__next{name[len(bare):]}"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    df.write.format("parquet").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    return spark.table(name)
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

@@ -1,28 +1,43 @@
-"""Incremental load: every new CSV file of a prefix is loaded once, then removed."""
+"""Incremental load: every CSV file delivered below a prefix is loaded once, then removed."""
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stacklore.session import has_files
-from stacklore.sources.csv_drop import READ_OPTIONS, apply_contract, purge, text_schema
+from stacklore.session import has_files, materialise
+from stacklore.sources.csv_drop import READ_OPTIONS, SOURCE_FILE, apply_contract, list_stage, text_schema
 
-# The file source skips files much older than the newest one; no arrival may be skipped.
-MAX_FILE_AGE = "36500d"
+# A delivery is a path with the time and length it had when it was listed, so that a file
+# delivered again under its old name is a new one.
+DELIVERY = ["path", "length", "modified"]
+LEDGER = "path string, length bigint, modified bigint, load int"
+FILES_PER_LOAD = 10_000
 
 
-def csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None, clean: bool = True
-) -> DataFrame:
-    """Streaming form of the CSV contract. The source removes a file after a later batch."""
-    reader = spark.readStream.options(**READ_OPTIONS).option("maxFileAge", MAX_FILE_AGE)
-    reader = reader.schema(text_schema(schema))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if clean:
-        reader = reader.option("cleanSource", "delete")
-    return apply_contract(reader.csv(path), schema)
+def _as_literal(path: str) -> str:
+    """The path with glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _purge_unchanged(spark: SparkSession, files: list[tuple[str, int, int]]) -> None:
+    """Delete these deliveries; a file that has changed since it was listed stays."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def delete(file: tuple[str, int, int]) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file[0])
+        system = path.getFileSystem(conf)
+        if system.exists(path):
+            status = system.getFileStatus(path)
+            if (status.getLen(), status.getModificationTime()) == file[1:]:
+                system.delete(path, False)
+
+    with ThreadPoolExecutor(max_workers=32) as pool:
+        list(pool.map(delete, files))
 
 
 def ingest_new_files(
@@ -31,27 +46,45 @@ def ingest_new_files(
     schema: T.StructType,
     target: str,
     checkpoint: str,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_LOAD,
     purge_files: bool = True,
 ) -> DataFrame:
-    """Append all files not yet loaded to the parquet folder `target`; returns the rows there.
+    """Append all deliveries not yet loaded to the parquet folder `target`; returns the rows there.
 
-    The file sink commits a batch once, so a restart on the same checkpoint neither loses
-    nor repeats rows. A finished run has loaded every file that was there at its start, so
-    those are removed (source cleaning lags one batch); later arrivals wait.
+    Rows go to `target/load=<n>`; then `checkpoint/files` records the deliveries of load n,
+    which commits it. A load that did not get so far is overwritten by the next run and is
+    not part of the result. Only recorded deliveries are removed, and only while the file is
+    still the one that was listed, so one that arrives meanwhile waits for the next run.
     """
-    waiting = spark.read.options(**READ_OPTIONS).schema(text_schema(schema)).csv(path).inputFiles()
-    stream = csv_stream(spark, path, schema, files_per_batch, clean=purge_files)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    ledger = f"{checkpoint.rstrip('/')}/files"
+
+    def recorded() -> DataFrame:
+        if has_files(spark, ledger):
+            return spark.read.schema(LEDGER).parquet(ledger)
+        return spark.createDataFrame([], LEDGER)
+
+    listed = materialise(
+        list_stage(spark, path).filter(F.col("path").endswith(".csv")).select(
+            "path", "length", F.unix_millis("modificationTime").alias("modified")
+        ),
+        "ingest-listed",
     )
-    query.awaitTermination()
+    past = recorded()
+    last = past.agg(F.max("load")).first()[0]
+    committed = -1 if last is None else last
+    # A reader needs the names of the files it is to read on the driver; contents stay away.
+    fresh = sorted(tuple(r) for r in listed.join(past, DELIVERY, "left_anti").select(*DELIVERY).collect())
+    for start in range(0, len(fresh), files_per_batch):
+        part = fresh[start:start + files_per_batch]
+        committed += 1
+        raw = spark.read.options(**READ_OPTIONS).schema(text_schema(schema)).csv([_as_literal(f[0]) for f in part])
+        apply_contract(raw, schema).write.mode("overwrite").parquet(f"{target.rstrip('/')}/load={committed}")
+        entries = spark.createDataFrame([(*f, committed) for f in part], LEDGER)
+        entries.coalesce(1).write.mode("append").parquet(ledger)
     if purge_files:
-        purge(spark, waiting)
-    if not has_files(spark, target):
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(target)
+        done = listed.join(recorded(), DELIVERY, "left_semi").select(*DELIVERY)
+        _purge_unchanged(spark, [tuple(r) for r in done.collect()])
+    if committed < 0:
+        return spark.createDataFrame([], T.StructType([*schema, T.StructField(SOURCE_FILE, T.StringType())]))
+    stored = spark.read.option("basePath", target).parquet(target)
+    return stored.filter(F.col("load") <= committed).drop("load")

@@ -134,7 +134,7 @@ def incremental_load(spark, d):
     root = scratch_path(spark, "incremental")
     target, checkpoint = scratch_path(spark, "loaded"), scratch_path(spark, "checkpoint")
     # Two arrivals, two runs on one checkpoint: the second loads only what is new.
-    for stamp, arrived in (("a", events.filter("ts < '2024-01-15'")), ("b", events.filter("ts >= '2024-01-15'"))):
+    for stamp, arrived in (("a", events.filter("ts < '2024-01-15'")), ("b", events.filter("ts >= '2024-01-15' or ts is null"))):
         csv_drop.write_raw_csv(arrived, root, "events", stamp)
         stored = ingest.ingest_new_files(spark, f"{root}/events", events.schema, target, checkpoint)
     return stored.drop(csv_drop.SOURCE_FILE)
@@ -209,7 +209,7 @@ def category_links(spark, d):
 
 @query
 def category_links_first_three(spark, d):
-    return extract.extract_category_links(t.home_page(spark, d), t.SHOP)
+    return extract.extract_category_links(t.home_page(spark, d), t.SHOP, max_categories=3)
 
 
 @query

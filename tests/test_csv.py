@@ -107,6 +107,7 @@ def test_failed_load_keeps_files_and_table(spark, tmp_path):
     with pytest.raises(Exception):
         csv_drop.load_raw(*how)
     assert os.path.exists(f"{root}/raw_inventory/b.csv")
+    assert spark.table("failed_load.raw_inventory").count() > 0
 
 
 def test_namespaces_and_tables(spark):

@@ -67,30 +67,30 @@ def pages(spark):
 
 @pytest.fixture(scope="module")
 def crawl(pages):
-    links = e.extract_category_links(pages, BASE)
+    links = e.extract_category_links(pages, BASE, max_categories=3)
     order = e.page_order(e.next_page_edges(pages), links)
     return e.crawl_listing(pages, order, BASE).cache()
 
 
 def test_category_links(pages):
-    assert rows(e.extract_category_links(pages, BASE)) == [
+    assert rows(e.extract_category_links(pages, BASE, max_categories=3)) == [
         (0, 2, shelf("travel_2")), (1, 3, shelf("mystery_3")), (2, 4, shelf("history_4"))
     ]
-    assert e.extract_category_links(pages, BASE, max_categories=None).count() == 4
+    assert e.extract_category_links(pages, BASE).count() == 4
 
 
 def test_categories(pages):
-    links = e.extract_category_links(pages, BASE)
+    links = e.extract_category_links(pages, BASE, max_categories=3)
     assert rows(e.extract_categories(pages, links)) == [
         (2, "Travel & more", AT), (3, "Mystery", AT), (4, "History", AT)
     ]
-    everything = e.extract_category_links(pages, BASE, max_categories=None)
+    everything = e.extract_category_links(pages, BASE)
     with pytest.raises(Exception, match="category page without heading"):
         e.extract_categories(pages, everything).collect()
 
 
 def test_page_order(pages):
-    links = e.extract_category_links(pages, BASE)
+    links = e.extract_category_links(pages, BASE, max_categories=3)
     order = e.page_order(e.next_page_edges(pages), links)
     assert [(r[0], r[1], r[3], r[2]) for r in sorted(order.collect(), key=lambda r: (r[0], r[3]))] == [
         (0, 2, 0, shelf("travel_2")), (0, 2, 1, shelf("travel_2", "page-2.html")),
@@ -110,8 +110,19 @@ def test_long_and_shared_chains(spark):
     assert got == want
 
 
-def test_link_loop_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(e, "MAX_ROUNDS", 3)
+def test_pages_fetched_twice_count_by_their_latest_fetch(spark, pages, crawl):
+    """Older fetches with other content, and one fetch stored twice, change no result."""
+    older = pages.selectExpr("url", "replace(html, 'page-2.html', 'page-9.html') as html", "fetched_at - interval 1 day as fetched_at")
+    both = pages.unionByName(pages).unionByName(older)
+    links = e.extract_category_links(pages, BASE, max_categories=3)
+    assert rows(e.next_page_edges(both)) == rows(e.next_page_edges(pages))
+    order = e.page_order(e.next_page_edges(both), links)
+    assert rows(e.crawl_listing(both, order, BASE)) == rows(crawl)
+    assert rows(e.parse_detail(both)) == rows(e.parse_detail(pages))
+    assert rows(e.extract_categories(both, links)) == rows(e.extract_categories(pages, links))
+
+
+def test_link_loop_is_an_error(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "a")], "url string, next_url string")
     links = spark.createDataFrame([(0, 1, "a")], "category_pos int, category_id int, category_url string")
     with pytest.raises(ValueError, match="loop"):

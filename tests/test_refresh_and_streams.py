@@ -97,6 +97,26 @@ def test_incremental_load_once_then_removed(spark, tmp_path):
     assert sorted(r.category_id for r in stored.collect()) == sorted([*range(6), *range(3)])
 
 
+def test_file_delivered_again_under_its_name_is_loaded(spark, tmp_path):
+    root, target, checkpoint = f"{tmp_path}/drop", f"{tmp_path}/raw", f"{tmp_path}/cp"
+    os.makedirs(root)
+    for n, body in enumerate(("1,a", "2,bb", "3,ccc"), 1):
+        with open(f"{root}/same {{name}}.csv", "w") as f:
+            f.write(f"category_id,category_name,extracted_at\n{body},2024-01-01T00:00:00Z\n")
+        stored = ingest.ingest_new_files(spark, root, schemas.RAW_CATEGORIES, target, checkpoint)
+        assert sorted(r.category_id for r in stored.collect()) == [*range(1, n + 1)] and csv_files(root) == []
+
+
+def test_load_that_was_not_recorded_is_loaded_once(spark, tmp_path):
+    """Rows written before a crash that came ahead of the record are replaced."""
+    root, target, checkpoint = f"{tmp_path}/drop", f"{tmp_path}/raw", f"{tmp_path}/cp"
+    df = spark.createDataFrame([(1, "c", datetime(2024, 1, 1))], schemas.RAW_CATEGORIES)
+    csv_drop.write_raw_csv(df, root, "categories", "a")
+    csv_drop.read_raw_csv(spark, root, schemas.RAW_CATEGORIES).write.parquet(f"{target}/load=0")
+    for _ in range(2):
+        assert ingest.ingest_new_files(spark, root, schemas.RAW_CATEGORIES, target, checkpoint).count() == 1
+
+
 def test_incremental_load_takes_old_and_empty_files(spark, tmp_path):
     root, target, checkpoint = f"{tmp_path}/drop", f"{tmp_path}/raw", f"{tmp_path}/cp"
     os.makedirs(root)
