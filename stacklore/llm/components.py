@@ -1,13 +1,14 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components: edges are contracted per task, then alternating large-star and small-star steps."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stacklore.llm.common import lookup_side
 from stacklore.session import materialise
 
 LOCAL_ENDS = 200_000  # ends of edges that a task holds before it gives its stars
@@ -44,30 +45,29 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield given()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(v, root) for every end of an edge (a, b) of long ids; the root is the smallest member.
 
-    Each round is a few joins on counted minima and is written to the shared folder, so that
-    a lost executor repeats one round. Rounds grow with the logarithm of the longest path.
+    A round contracts each task's edges to stars and takes the smallest root of every vertex,
+    one shuffle with map-side combine. If no vertex has two roots, that is the result. Else
+    members go to the smallest root of their root (large star) and a vertex's other roots to
+    its smallest one (small star). After contraction a vertex comes once per task with edges,
+    so no vertex gathers an unbounded group. Rounds grow with the logarithm of the longest path.
+
+    Rounds are written to the shared folder, so that a lost executor repeats one round.
     """
-    ordered = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b")
-    current = materialise(ordered.mapInArrow(_stars, "a long, b long").distinct(), label)
-    seen = _fingerprint(current)
+    current = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b")
     while True:
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b").distinct()
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        following = materialise(small.unionByName(least.select(F.col("m").alias("a"), "b")).distinct(), label)
-        found = _fingerprint(following)
-        current = following
-        if found == seen:
-            break
-        seen = found
-    roots = current.select(F.col("b").alias("v"), F.col("a").alias("root"))
-    return roots.unionByName(current.select(F.col("a").alias("v"), F.col("a").alias("root")).distinct())
+        stars = materialise(current.mapInArrow(_stars, "a long, b long"), label)
+        roots_too = stars.select(F.col("b").alias("v"), "a", F.lit(False).alias("is_root")).unionByName(
+            stars.select(F.col("a").alias("v"), "a", F.lit(True).alias("is_root")))
+        found = materialise(roots_too.groupBy("v").agg(
+            F.min("a").alias("root"), F.max("a").alias("last"), F.max("is_root").alias("is_root")), f"{label}-least")
+        if found.filter("root <> last").isEmpty():
+            return found.select("v", "root")
+        moved = found.filter("is_root and root <> v").select(F.col("v").alias("_v"), F.col("root").alias("_root"))
+        large = stars.join(lookup_side(moved, f"{label}-moved"), F.col("a") == F.col("_v"), "left").select(
+            F.coalesce("_root", "a").alias("a"), "b")
+        least = large.withColumn("m", F.min("a").over(Window.partitionBy("b")))
+        current = least.select(F.explode(F.when(F.col("a") == F.col("m"), F.array("b")).otherwise(F.array("a", "b")))
+                               .alias("b"), F.col("m").alias("a")).select("a", "b").filter("a <> b")
