@@ -188,7 +188,7 @@ def cluster_edges(keys: DataFrame) -> DataFrame:
     )
     hubs = kept.filter("hub_of is not null").select("hub_of", "cls")
     smallest = hubs.groupBy("hub_of").agg(F.min("cls").alias("a"))
-    across = hubs.join(smallest, "hub_of").select("a", F.col("cls").alias("b"))
+    across = materialise(hubs.join(smallest, "hub_of").select("a", F.col("cls").alias("b")), "join-hubs")
     return kept.filter("prev is not null").select(F.col("prev").alias("a"), F.col("cls").alias("b")).unionByName(across)
 
 
