@@ -13,7 +13,8 @@ range, sorted within; texts are tokenised once, after it, while streaming. The k
 hash of the id, so copies of one text spread over ranges like other rows. The driver gets the
 means and at most MAX_RANGES bounds.
 
-Defined cases: null and empty texts are one closing token; null ids are packed like others;
+Defined cases: an added token of the vocabulary (`<|endoftext|>`) spelt in a text is that token,
+as the tokenizer's own encoding has it; null and empty texts are one closing token; null ids are packed like others;
 rows repeated with one id are packed once each; an empty table gives no rows; other columns
 do not matter.
 """
@@ -21,7 +22,9 @@ do not matter.
 from __future__ import annotations
 
 import base64
+import json
 import math
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -56,7 +59,22 @@ def load_tokenizer(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(
+        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path)
+    )
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that count as one wherever a text spells them, from the json beside the rank file."""
+    beside = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']} of {beside} is not matched as it is spelt")
+    return {token["content"]: token["id"] for token in added}
 
 
 def projection() -> np.ndarray:
@@ -174,7 +192,7 @@ def pack(
             for doc_id, content, part in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 if part != current:
                     current, sequence, used = part, 0, 0
-                ids = tokenizer.encode_ordinary(content or "")
+                ids = tokenizer.encode(content or "", allowed_special="all")
                 ids.append(END_TOKEN)
                 data = np.array(ids, "<u4")
                 at = 0

@@ -209,6 +209,25 @@ def test_packed_ids_are_the_tokenizer_s(spark, table, monkeypatch):
     assert seen == {d: len(v) for d, v in ids.items()}
 
 
+def test_added_tokens_in_plain_text(spark, monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "false")
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"{end} two", f"one {end} two", f"one  {end}  two\n{end}", f"one two{end}", f"{end}{end} {end}a{end}é",
+             "<|endoftext", "<|EndOfText|> <<|endoftext|>>", "none"]
+    ids = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    assert ids[2].tolist() == [505, 220, 50256, 734, 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.pack(docs).collect()
+    assert sum(r["length"] for r in pieces) == sum(map(len, ids))
+    for r in pieces:
+        data = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert zlib.crc32(data.tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(ids[r["doc_id"]])
+
+
 def test_hilbert_is_a_curve():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = grid[np.argsort(packing.hilbert(grid, 3))]
