@@ -36,13 +36,29 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def content_bytes(value: Column, kind: T.DataType) -> Column:
+    """Counted bytes of a value: strings and binaries by length, nested values by what they hold."""
+    fixed = F.lit(16).cast("long")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return fixed + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.StructType):
+        for child in kind.fields:
+            fixed = fixed + content_bytes(value.getField(child.name), child.dataType)
+        return fixed
+    if isinstance(kind, T.ArrayType):
+        held = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + content_bytes(x, kind.elementType))
+        return fixed + F.coalesce(held, F.lit(0))
+    if isinstance(kind, T.MapType):
+        keys = content_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + content_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    return fixed
+
+
 def fits_broadcast(written: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a written table's counted bytes allow a broadcast (strings and binaries by length)."""
-    wide = [c for c, kind in written.dtypes if kind in ("string", "binary")]
-    fixed = 16 * (len(written.columns) - len(wide)) + 16 * len(wide)
-    size = F.lit(fixed).cast("long")
-    for column in wide:
-        size = size + F.coalesce(F.octet_length(column), F.lit(0))
+    """Whether a written table's counted bytes allow a broadcast."""
+    size = F.lit(0).cast("long")
+    for column in written.schema.fields:
+        size = size + content_bytes(written[f"`{column.name}`"], column.dataType)
     total = written.agg(F.sum(size)).first()[0] or 0
     return total <= limit
 

@@ -10,8 +10,9 @@ the others revisit it; their record holds the HTTP headers only, whose Content-L
 full payload's.
 
 Files are written and read by Spark: one row of at most ARCHIVE_BYTES (or one record, if that
-is longer) is one gzipped file, so no task holds more than an archive. Payloads are never
-shuffled: digests meet as narrow rows, and only revisits are looked up while converting.
+is longer) is one gzipped file, so no task holds more than an archive. Digests meet as narrow
+rows, without payloads. Revisits are looked up by archive while converting: by broadcast while
+their counted content allows, else archives, still gzipped, and revisits are shuffled by path.
 
 Defined cases: null html is an empty payload; a null or blank url is `urn:x-unknown`, blanks and
 other unsafe characters of urls are percent-encoded; a null page id is smaller than any other;

@@ -11,7 +11,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stacklore.llm import oracle, pivot_search, warc
+from stacklore.llm import common, oracle, pivot_search, warc
 from stacklore.llm.queries import QUERIES
 from stacklore.session import materialise
 
@@ -77,6 +77,33 @@ def test_archives_of_odd_pages(spark):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_broadcasts_are_counted_by_nested_content(spark):
+    entries = [(n, f"<urn:uuid:{n:036d}>") for n in range(5000)]
+    revisits = spark.createDataFrame([("a", entries), ("b", None), ("c", [None])], "path string, revisits array<struct<o: long, r: string>>")
+    assert not common.fits_broadcast(revisits, 5000 * 47)
+    assert common.fits_broadcast(revisits, 5000 * 120)
+    named = spark.createDataFrame([({"k": "v" * 1000}, ("s" * 1000,)), (None, None)], "m map<string, string>, s struct<`x.y`: string>")
+    assert not common.fits_broadcast(named, 2000)
+    assert common.fits_broadcast(named, 2400)
+
+
+def test_archives_beyond_the_broadcast_limit(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "lookup_side", lambda df, label: common.lookup_side(df, label, 5000))
+    looked_up = []
+    monkeypatch.setattr(common, "fits_broadcast", lambda *a, f=common.fits_broadcast: looked_up.append(f(*a)) or looked_up[-1])
+    data = [(i, f"http://h/{i}", f"<p>{i % 3}</p>" * 200) for i in range(90)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rows(warc.archive_pages(pages).select("page_id", "record_type", "refers_to"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert looked_up == [True, False]
+    assert found == sorted([(i, "response", None) if i >= 87 else (i, "revisit", 87 + i % 3) for i in range(90)], key=repr)
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_headers(version):
     block = warc.arc_version_block("f.arc", version)
