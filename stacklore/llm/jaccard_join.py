@@ -406,23 +406,54 @@ def point_links(points: DataFrame, tiles: DataFrame) -> DataFrame:
     return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long")
 
 
-def verified_links(docs: DataFrame, members: DataFrame, tiles: DataFrame, text: str, id_column: str) -> DataFrame:
-    """(a, b): links between classes, enough to join their components."""
-    side = lookup_side(tiles, "join-tiles")
-    ids = members.join(side.select("cls").distinct(), "cls", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
-    chosen = docs.join(
-        lookup_side(ids, "join-ids"), docs[id_column].eqNullSafe(F.col("_id")), "left_semi"
-    ).select(docs[text].alias("text"))
+def chosen_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, text: str, id_column: str) -> DataFrame:
+    """(cls, shingles) once for each class of `members`, from a row with its id.
+
+    Ids of several rows (`repeated`) may have other classes' texts and many rows of one; only
+    their sets are shuffled to leave one.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            found = [s for s in (shingle_set(t, powers) for t in batch.column(0).to_pylist()) if len(s)]
+            found = [shingle_set(t, powers) for t in batch.column(1).to_pylist()]
+            held = pa.array([len(s) > 0 for s in found], pa.bool_())
+            found = [s for s in found if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_class(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["cls", "shingles"],
+                [batch.column(0).filter(held), pa.array([set_class(s) for s in found], pa.int64()),
+                 pa.array([s.tobytes() for s in found], pa.binary())],
+                names=["doc_id", "cls", "shingles"],
             )
 
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def of(ids: DataFrame, label: str) -> DataFrame:
+        rows = docs.join(lookup_side(ids, label), docs[id_column].eqNullSafe(F.col("_id")), "left_semi")
+        return rows.select(docs[id_column].alias("doc_id"), docs[text].alias("text")).mapInArrow(
+            sets, f"doc_id {kind}, cls long, shingles binary"
+        )
+
+    ids = members.select(F.col("doc_id").alias("_id")).distinct()
+    same = F.col("_id").eqNullSafe(F.col("_again"))
+    again = repeated.select(F.col("_id").alias("_again"))
+    found = of(ids.join(again, same, "left_anti"), "join-ids").select("cls", "shingles")
+    several = materialise(ids.join(again, same, "left_semi"), "join-several-ids")
+    if several.isEmpty():
+        return found
+    wanted = members.select(F.col("cls").alias("_cls"), F.col("doc_id").alias("_id"))
+    theirs = of(several, "join-ids-again").join(
+        wanted, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"
+    )
+    return found.unionByName(theirs.select("cls", "shingles").dropDuplicates(["cls"]))
+
+
+def verified_links(
+    docs: DataFrame, members: DataFrame, repeated: DataFrame, tiles: DataFrame, text: str, id_column: str
+) -> DataFrame:
+    """(a, b): links between classes, enough to join their components."""
+    side = lookup_side(tiles, "join-tiles")
+    tiled = members.join(side.select("cls").distinct(), "cls", "left_semi")
+
     def compare(table: pa.Table) -> pa.Table:
         table = _once(table)
         sets_here = [
@@ -431,12 +462,12 @@ def verified_links(docs: DataFrame, members: DataFrame, tiles: DataFrame, text:
         ]
         return _numbers(table, tile_links(sets_here, *_sides(table)), table.column("cls").to_numpy())
 
-    rows = chosen.mapInArrow(sets, "cls long, shingles binary").join(side, "cls")
+    rows = chosen_sets(docs, tiled, repeated, text, id_column).join(side, "cls")
     return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long")
 
 
-def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of `docs`."""
+def near_parts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n, cls, part) per row of `docs`, written; cls and part are null without shingles."""
     measured = materialise(measure(docs, id_column, text), "join-measured")
     counts = shingle_counts(measured.filter("counts is not null").select("counts"))
     rows = measured.filter("counts is null").select("doc_id", "n", "cls")
@@ -446,10 +477,14 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         inside.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("root").alias("cluster")),
         "join-classes",
     )
+    repeated = rows.filter("cls is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = materialise(repeated.select(F.col("doc_id").alias("_id")), "join-repeated-ids")
     chosen = lookup_side(members.select("cls", F.col("doc_id").alias("_id")), "join-chosen")
     points = measured.filter("cls is not null").select("doc_id", "cls", "point").join(chosen, "cls").filter(
         F.col("doc_id").eqNullSafe(F.col("_id"))
     ).select("cls", "point")
+    if not repeated.isEmpty():
+        points = points.dropDuplicates(["cls"])
     parts = tiled_components(
         members.select("cluster", "n", "cls"), lambda tiles: point_links(points, tiles), "join-parts"
     ).withColumnRenamed("root", "part")
@@ -457,12 +492,17 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         F.col("part").alias("cluster"), "n", "cls"
     )
     linked = tiled_components(
-        closer, lambda tiles: verified_links(docs, members, tiles, text, id_column), "join-linked"
+        closer, lambda tiles: verified_links(docs, members, repeated, tiles, text, id_column), "join-linked"
     ).withColumnsRenamed({"v": "_v", "root": "_root"})
     rooted = rows.join(lookup_side(linked, "join-linked"), F.col("cls") == F.col("_v"), "left").select(
-        "doc_id", "n", F.coalesce("_root", "cls").alias("part")
+        "doc_id", "n", "cls", F.coalesce("_root", "cls").alias("part")
     )
-    rooted = materialise(rooted, "join-result-parts")
+    return materialise(rooted, "join-result-parts")
+
+
+def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of `docs`."""
+    rooted = near_parts(docs, id_column, text)
     several = rooted.filter("part is not null").groupBy("part").agg(
         F.min("doc_id").alias("_smallest"), F.count(F.lit(1)).alias("_n")
     ).filter("_n > 1").select(F.col("part").alias("_part"), "_smallest")

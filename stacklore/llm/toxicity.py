@@ -175,6 +175,8 @@ def held_out(doc_id: Column, folds: int, fold_no: int) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold_no: int, limit: int):
     """At most `limit` labelled rows outside the held-out fold, by smallest hash of the id.
 
+    Of rows repeated with one id, the one with the smallest SHA-256 of its text is taken.
+
     Labels meet documents by id; the sample is chosen among label rows, which are narrow, so
     only the texts of chosen rows move.
     """
@@ -184,7 +186,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fo
     one = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     side = F.broadcast(materialise(chosen.withColumnRenamed("doc_id", "_id"), "training-ids"))  # `limit` rows at most
-    return docs.join(side, docs["doc_id"] == F.col("_id")).select(docs["doc_id"], docs["text"], "_label")
+    rows = docs.join(side, docs["doc_id"] == F.col("_id")).select(docs["doc_id"], docs["text"], "_label")
+    first = F.min(F.struct(F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text"))
+    return rows.groupBy("doc_id", "_label").agg(first.alias("_first")).select("doc_id", F.col("_first.text").alias("text"), "_label")
 
 
 def entry_counts(sample: DataFrame) -> DataFrame:

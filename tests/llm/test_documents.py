@@ -103,6 +103,37 @@ def test_near_components_equal_brute_force(spark, table):
     assert found == sorted(brute_components(documents), key=repr)
 
 
+def test_rows_repeated_under_one_id_meet_once(spark, monkeypatch):
+    a = [f"a{i}" for i in range(60)]
+    near, other = " ".join(["x", *a[1:]]), " ".join(f"b{i}" for i in range(60))
+    documents = [(1, " ".join(a))] * 40 + [(2, near)] * 3 + [(1, near), (1, other), (3, other), (None, other + " y")] + [(None, "c d e f g h")] * 4
+    docs = spark.createDataFrame(documents, "doc_id long, text string").repartition(5)
+    met = []
+
+    def counted(*args, f=jaccard_join.point_links):
+        met.append(args[0].groupBy("cls").count().agg({"count": "max"}).first()[0])
+        return f(*args)
+
+    def sets(*args, f=jaccard_join.chosen_sets):
+        out = f(*args)
+        met.append(out.groupBy("cls").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "point_links", counted)
+    monkeypatch.setattr(jaccard_join, "chosen_sets", sets)
+    found = rows(jaccard_join.near_components(docs))
+    assert found == sorted(brute_components(documents), key=repr)
+    assert len(met) >= 2 and set(met) == {1}
+
+
+def test_training_rows_are_one_per_id(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None), (2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 4)], "doc_id long, quality int, toxic int")
+    found = rows(toxicity.training_rows(docs, labels, "quality", 1000, 999, 3))
+    first = min("ab", key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert found == [(1, first, 1), (2, None, 1), (3, "c", 1)]
+
+
 def test_tiles_find_all_links_of_a_large_cluster():
     rng = np.random.default_rng(1)
     base = rng.integers(1, 1 << 62, 200).astype(np.uint64)
