@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stacklore.llm.common import lookup_side, with_row_numbers
 from stacklore.llm.components import components
@@ -512,16 +513,59 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
 
 
+def with_class(docs: DataFrame, text: str) -> DataFrame:
+    """`docs` with the class of each row's set as last column, null without shingles."""
+    at, names = docs.columns.index(text), [*docs.columns, "_class"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            found = [shingle_set(t, powers) for t in batch.column(at).to_pylist()]
+            classes = pa.array([set_class(s) if len(s) else None for s in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_class", T.LongType())]))
+
+
 def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose id is their component's smallest, with all columns of `docs`.
+    """One row of each component, with all columns of `docs`: of its rows with the smallest id
+    (a null one is larger than any other) one of the smallest class.
 
-    Rows without an id stay. Rows repeated with the staying id: one per text stays.
+    An id may have several texts; each goes or stays by its own component. Texts without
+    shingles stay, of rows repeated with one id and such a text one; all of them without an id.
     """
-    found = materialise(near_components(docs, id_column, text), "join-result")
-    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(lookup_side(dropped, "join-dropped"), docs[id_column] == F.col("_id"), "left_anti")
-    twice = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    repeated = lookup_side(twice.select(F.col("doc_id").alias("_id")), "join-repeated")
-    single = kept.join(repeated, kept[id_column] == F.col("_id"), "left_anti")
-    several = kept.join(repeated, kept[id_column] == F.col("_id"), "left_semi").dropDuplicates([id_column])
-    return single.unionByName(several)
+    rows = near_parts(docs, id_column, text)
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "cls")
+    several = rows.filter("part is not null").groupBy("part").agg(
+        F.min(rank).alias("_first"), F.count(F.lit(1)).alias("_n")
+    ).filter("_n > 1").select(F.col("part").alias("_part"), "_first")
+    stays = F.col("_first").isNull() | (
+        F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("cls") == F.col("_first.cls"))
+    )
+    judged = materialise(
+        rows.join(lookup_side(several, "join-several"), F.col("part") == F.col("_part"), "left").select(
+            "doc_id", "cls", stays.alias("stays")
+        ),
+        "join-result",
+    )
+    ids = materialise(
+        judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("some")), "join-result-ids"
+    )
+    # Ids of one row are settled by the id, ids none of whose rows stay as well.
+    settled = ids.filter("n > 1 or not some").select(F.col("doc_id").alias("_id"))
+    single = docs.join(lookup_side(settled, "join-dropped"), docs[id_column].eqNullSafe(F.col("_id")), "left_anti")
+    mixed_ids = materialise(ids.filter("n > 1 and some").select(F.col("doc_id").alias("_id")), "join-repeated")
+    if mixed_ids.isEmpty():
+        return single
+    theirs = docs.join(lookup_side(mixed_ids, "join-mixed"), docs[id_column].eqNullSafe(F.col("_id")), "left_semi")
+    keys = judged.filter("stays").join(mixed_ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls")).distinct()
+    found = with_class(theirs, text)
+    kept = found.join(
+        lookup_side(keys, "join-kept"),
+        found[id_column].eqNullSafe(F.col("_id")) & F.col("_class").eqNullSafe(F.col("_cls")), "left_semi",
+    )
+    plain = F.when(F.col("_class").isNull(), F.coalesce(found[text], F.lit("")))
+    free = F.col(id_column).isNull() & F.col("_class").isNull()
+    own = kept.filter(~free).withColumn("_plain", plain).dropDuplicates([id_column, "_class", "_plain"])
+    return single.unionByName(own.drop("_class", "_plain")).unionByName(kept.filter(free).drop("_class"))

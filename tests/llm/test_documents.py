@@ -126,6 +126,21 @@ def test_rows_repeated_under_one_id_meet_once(spark, monkeypatch):
     assert len(met) >= 2 and set(met) == {1}
 
 
+def test_one_per_component_of_ids_with_several_texts(spark, no_docs):
+    a = [f"a{i}" for i in range(60)]
+    one, near = " ".join(a), " ".join(["x", *a[1:]])
+    two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "bc")
+    documents = [(1, one), (2, near), (2, two), (3, three), (3, " ".join(a[:-1])), (4, "a b c d e f"), (4, "g h i j k l"),
+                 (5, one), (6, two + " y"), (7, ""), (7, ""), (7, " "), (8, two), (8, two), (None, three), (None, "m n o p q"), (None, "m n o p q"),
+                 (None, ""), (None, "")]
+    docs = spark.createDataFrame([(*d, "s") for d in documents], "doc_id long, text string, source string")
+    kept = jaccard_join.one_per_component(docs)
+    assert kept.columns == docs.columns
+    assert rows(kept) == sorted([(*d, "s") for d in [
+        (1, one), (2, two), (3, three), (4, "a b c d e f"), (4, "g h i j k l"), (7, ""), (7, " "), (None, "m n o p q"), (None, ""), (None, "")]], key=repr)
+    assert jaccard_join.one_per_component(no_docs).count() == 0
+
+
 def test_training_rows_are_one_per_id(spark):
     docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None), (2, None), (3, "c")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 4)], "doc_id long, quality int, toxic int")
