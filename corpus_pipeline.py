@@ -52,7 +52,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Learned weights and a tokenizer cannot be written as SQL; tests/llm holds a brute-force version.
+# Learned weights and a tokenizer cannot be written as SQL. A brute-force version of all stages is open.
 ORACLE_SQL = None
 
 
