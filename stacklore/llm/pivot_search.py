@@ -15,8 +15,9 @@ every row is indexed and results are exact. The directory of annuli is broadcast
 MAX_ANNULI rows.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part;
-shorter vectors count as filled up with zeros; repeated rows are separate candidates; a null id
-is no query and comes last among ties; with fewer than k candidates all are returned; an empty
+shorter vectors count as filled up with zeros; rows repeated with one id are separate candidates
+of other ids' queries, and one query, by their smallest vector; no row with a query's id is its
+candidate; a null id is no query and comes last among ties; with fewer than k candidates all are returned; an empty
 table gives no rows; other columns do not matter. Scores are exact while they stay below 2^53.
 """
 
@@ -207,7 +208,7 @@ def top_k(
     )
     annuli = index.groupBy("part", "ring", "pivot").agg(F.min("distance").alias("near"), F.max("distance").alias("far"))
     directory = Directory(pivots, top, width, [(r["part"], r["pivot"], r["near"], r["far"]) for r in annuli.collect()])
-    queries = whole.filter("asks").select(F.col("vec_id").alias("query_id"), "v").dropDuplicates(["query_id"])
+    queries = whole.filter("asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     open_queries = queries.withColumn("floor", F.lit(None).cast("long"))
     best, skip, take = None, 0, 1
     while skip < len(directory.parts):

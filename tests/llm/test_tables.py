@@ -47,6 +47,14 @@ def test_search_of_odd_vectors(spark):
     assert pivot_search.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_queries_repeated_with_one_id_take_the_smallest_vector(spark):
+    data = [(0, [2.0, 0.0]), (0, [0.0, 3.0]), (0, [1.0, 5.0]), (1, [1.0, 4.0]), (1, [1.0, 4.0]), (2, [9.0, 1.0])]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").coalesce(1)
+        found = rows(pivot_search.top_k(df, F.col("vec_id") == 0, k=5))
+        assert [(r[2], r[3]) for r in sorted(found)] == [(1, 12 << 20), (1, 12 << 20), (2, 3 << 20)]
+
+
 def test_search_over_many_parts_and_copies(spark, monkeypatch):
     import numpy as np
 
