@@ -33,4 +33,72 @@ SQL: dict[str, str] = {
                case when payload_bytes >= 1000 and page_id < newest then 'revisit' else 'response' end as record_type,
                case when payload_bytes >= 1000 and page_id < newest then newest end as refers_to
         from g""",
+    "op11_prefix_trie": """
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+            from conversations where conv_id is not null
+        ), own as (
+            select conv_id, list({'role': role, 'text': text}
+                order by turn nulls first, sha256(strlen(role) || ':' || role || text)) as path
+            from turns group by conv_id
+        ), hashed as (
+            select conv_id, path, xor(list_reduce(
+                list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ord(c) as bigint)),
+                lambda crc, byte: list_reduce(range(8),
+                    lambda v, i: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, xor(crc, byte)),
+                cast(4294967295 as bigint)), 4294967295) % 9 as h
+            from own
+        ), rebuilt as (
+            select c.conv_id, list_concat(coalesce(b.path[1:c.h], []), c.path[c.h + 1:]) as path
+            from hashed c left join own b on b.conv_id = c.conv_id - c.conv_id % 5
+        ), starts as (
+            select conv_id, len(path) as turns, unnest(range(len(path) + 1)) as depth, path from rebuilt
+        ), nodes as (
+            select path[1:depth] as node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+                   sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id)
+                       filter (where turns = depth), '')) as ends_sha256
+            from starts group by all
+        ), below as (
+            select node[1:depth - 1] as node, count(*) as n_children from nodes where depth > 0 group by all
+        ), weighed as (
+            select n.*, coalesce(n_children, 0) as n_children,
+                   case when depth = 0 then 0 else (n_convs - 1) * strlen(n.node[depth].text) end as saved
+            from nodes n left join below b using (node)
+        ), spread as (
+            select node, depth, n_children = 0 as leaf, saved, unnest(range(depth + 1)) as above from weighed
+        ), sums as (
+            select node[1:above] as node, count(*) filter (where leaf) as n_leaves, sum(saved) as saved_tokens
+            from spread group by all
+        )
+        select w.conv_id, w.depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+               cast(s.saved_tokens as bigint) as saved_tokens, w.ends_sha256
+        from weighed w join sums s using (node) left join nodes p on w.depth > 0 and p.node = w.node[1:w.depth - 1]""",
+    "op13_term_pipeline": r"""
+        with said as (
+            select doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents
+        ), asked as (
+            select item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from benchmark
+        ), words as (
+            select doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from said
+        ), item_terms as (
+            select distinct item_id,
+                   unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from asked
+        ), counts as (
+            select doc_id, term, count(*) as tf from words group by all
+        ), lengths as (
+            select doc_id, count(*) as n from words group by all
+        ), totals as (
+            select count(*) as docs, cast(sum(n) as bigint) as words from lengths
+        ), weights as (
+            select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+            from counts, totals group by term, docs
+        ), scored as (
+            select item_id, doc_id, cast(sum(w * ((1000000000 * tf)
+                       // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // words))))) as bigint) as score
+            from item_terms join weights using (term) join counts using (term) join lengths using (doc_id), totals
+            group by all
+        )
+        select item_id, cast(row_number() over best as integer) as rank, doc_id, score from scored where score > 0
+        window best as (partition by item_id order by score desc, doc_id)
+        qualify row_number() over best <= 10""",
 }

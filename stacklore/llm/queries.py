@@ -5,10 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stacklore.llm import exact_dedup, jaccard_join, mixing, packing, pii, pivot_search, quality, sharding, toxicity, warc
+from stacklore.llm import (
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    packing,
+    pii,
+    pivot_search,
+    prefix_trie,
+    quality,
+    sharding,
+    term_pipeline,
+    toxicity,
+    url_filter,
+    warc,
+)
 from stacklore.llm.common import read
 
 SHARDS = 24
+# Fixed rules of the URL query.
+RULES = (
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +95,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), RULES)
+
+
+def op13_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_pipeline.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality": op2_quality,
@@ -84,4 +118,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_url_filter": op12_url_filter,
+    "op13_term_pipeline": op13_term_pipeline,
 }
