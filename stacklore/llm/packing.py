@@ -3,15 +3,16 @@
 A text's hashed vector counts its byte pairs in 65,536 places; a seeded random projection
 takes it to DIMENSIONS coordinates, each ranked by a normal curve with the mean and deviation
 of all documents, and a Hilbert curve through that cube gives the order. Documents are cut
-into ranges of the curve by quantiles of all keys; each range is one stream of tokens that is
-cut every `length` tokens. So neighbours on the curve share sequences, a document's pieces
-follow one another, and only the last sequence of a range is padded: less than one sequence in
-RANGE_BYTES of text.
+into ranges of about RANGE_BYTES of text along the curve; each range is one task and one stream
+of tokens that is cut every `length` tokens. So neighbours on the curve share sequences, a
+document's pieces follow one another, and only the last sequence of a range is padded: less
+than one sequence in RANGE_BYTES of text.
 
-Passes: coordinates of all texts (narrow rows are written), then one shuffle of the texts by
-range, sorted within; texts are tokenised once, after it, while streaming. The key ends in a
-hash of the id, so copies of one text spread over ranges like other rows. The driver gets the
-means and at most MAX_RANGES bounds.
+Passes: coordinates of all texts, written beside them; one shuffle of (key, bytes), sorted, in
+which each task names the keys where another RANGE_BYTES are full; one shuffle of the texts by
+range, sorted within. Texts are tokenised once, after it, while streaming. The key ends in a
+hash of the id and the row's place, so copies of one text spread over ranges like other rows.
+The driver gets the means and one key per RANGE_BYTES of text, whatever the size of the table.
 
 Defined cases: an added token of the vocabulary (`<|endoftext|>`) spelt in a text is that token,
 as the tokenizer's own encoding has it; null and empty texts are one closing token; null ids are packed like others;
@@ -41,9 +42,9 @@ DIMENSIONS = 3
 BITS = 10
 SEED = 20
 RANGE_BYTES = 8 << 20
-MAX_RANGES = 8192
 TIE_BITS = 63 - DIMENSIONS * BITS
 CHUNK = 1 << 20
+PLACE = ["size", "tie", *[f"x{i}" for i in range(DIMENSIONS)]]
 
 
 def vocabulary_path() -> str:
@@ -78,17 +79,18 @@ def added_tokens(path: str) -> dict[str, int]:
 
 
 def projection() -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((1 << 16, DIMENSIONS)).astype(np.float32)
+    drawn = np.random.default_rng(SEED).standard_normal((1 << 16, DIMENSIONS)).astype(np.float32)
+    return np.ascontiguousarray(drawn.T)
 
 
-def coordinates(text: str | None, weights: np.ndarray) -> np.ndarray:
-    """Mean projection of a text's byte pairs."""
-    data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+def coordinates(data: bytes, weights: np.ndarray) -> list[float]:
+    """Mean projection of a text's byte pairs; `weights` has one contiguous row per dimension."""
     total = np.zeros(DIMENSIONS)
     for at in range(0, len(data) - 1, CHUNK):
-        part = data[at:at + CHUNK + 1].astype(np.int32)
-        total += weights[part[:-1] * 256 + part[1:]].sum(axis=0, dtype=np.float64)
-    return total / max(1, len(data) - 1)
+        part = np.frombuffer(data[at:at + CHUNK + 1], np.uint8).astype(np.uint16)
+        pairs = (part[:-1] << 8) | part[1:]
+        total += [row[pairs].sum(dtype=np.float64) for row in weights]
+    return (total / max(1, len(data) - 1)).tolist()
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -122,67 +124,76 @@ def _cells(points: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.nd
     return np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
-def curve_keys(points: np.ndarray, ids: list, mean: np.ndarray, deviation: np.ndarray) -> np.ndarray:
-    tie = np.array([zlib.crc32(str(i).encode()) for i in ids], np.int64) & ((1 << TIE_BITS) - 1)
-    return (hilbert(_cells(points, mean, deviation), BITS) << TIE_BITS) | tie
+def curve_keys(points: np.ndarray, ties: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.ndarray:
+    return (hilbert(_cells(points, mean, deviation), BITS) << TIE_BITS) | (ties & ((1 << TIE_BITS) - 1))
+
+
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) with bytes, tie and coordinates."""
+    weights = projection()
+    for batch in batches:
+        texts = [(t or "").encode("utf-8", "replace") for t in batch.column(1).to_pylist()]
+        points = np.array([coordinates(t, weights) for t in texts]).reshape(-1, DIMENSIONS)
+        # The place in the batch parts rows repeated with one id.
+        ties = [zlib.crc32(f"{i}:{at}".encode()) for at, i in enumerate(batch.column(0).to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([len(t) for t in texts], pa.int64()), pa.array(ties, pa.int64()),
+             *[pa.array(points[:, i]) for i in range(DIMENSIONS)]],
+            names=["doc_id", "text", *PLACE],
+        )
+
+
+def _points(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(DIMENSIONS)], axis=1)
+
+
+def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted (key, size), the keys at which another RANGE_BYTES are full."""
+    size = 0
+    for batch in batches:
+        sizes = size + np.cumsum(batch.column(1).to_numpy(zero_copy_only=False))
+        full = np.flatnonzero(np.diff(sizes // RANGE_BYTES, prepend=size // RANGE_BYTES))
+        size = int(sizes[-1]) if len(sizes) else size
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(full))], names=["key"])
 
 
 def pack(
     docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    spark = docs.sparkSession
     path = vocabulary or vocabulary_path()
     chosen = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    names = [f"x{i}" for i in range(DIMENSIONS)]
-
-    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = projection()
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            points = np.array([coordinates(t, weights) for t in texts]).reshape(-1, DIMENSIONS)
-            sizes = [len((t or "").encode("utf-8", "replace")) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), *[pa.array(points[:, i]) for i in range(DIMENSIONS)]],
-                names=["doc_id", "size", *names],
-            )
-
-    narrow = materialise(
-        chosen.mapInArrow(locate, f"doc_id {kind}, size long, " + ", ".join(f"{n} double" for n in names)),
-        "pack-coordinates",
-    )
-    stats = narrow.agg(
-        F.sum("size").alias("bytes"), *[F.avg(n).alias(f"m{n}") for n in names],
-        *[F.stddev_pop(n).alias(f"d{n}") for n in names],
+    names = PLACE[2:]
+    place = "size long, tie long, " + ", ".join(f"{n} double" for n in names)
+    located = materialise(chosen.mapInArrow(_located, f"doc_id {kind}, text string, {place}"), "pack-coordinates")
+    stats = located.agg(
+        *[F.avg(n).alias(f"m{n}") for n in names], *[F.stddev_pop(n).alias(f"d{n}") for n in names]
     ).first()
     mean = np.array([stats[f"m{n}"] or 0.0 for n in names])
     deviation = np.array([stats[f"d{n}"] or 0.0 for n in names])
-    ranges = int(min(MAX_RANGES, max(1, (stats["bytes"] or 0) // RANGE_BYTES)))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = np.stack([batch.column(2 + i).to_numpy(zero_copy_only=False) for i in range(DIMENSIONS)], axis=1)
-            keys = curve_keys(points, batch.column(0).to_pylist(), mean, deviation)
-            yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
+            keys = curve_keys(_points(batch), batch.column("tie").to_numpy(zero_copy_only=False), mean, deviation)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("size")], names=["key", "size"])
 
-    bounds = np.empty(0, np.int64)
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        found = narrow.mapInArrow(keyed, "key long").agg(F.percentile_approx("key", shares, 20 * ranges)).first()[0]
-        bounds = np.array(sorted(set(found)), np.int64)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    narrow = located.select(*PLACE).mapInArrow(keyed, "key long, size long")
+    cuts = narrow.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(_cuts, "key long")
+    bounds = np.array(sorted({r[0] for r in cuts.collect()}), np.int64)
 
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = projection()
         for batch in batches:
-            points = np.array([coordinates(t, weights) for t in batch.column(1).to_pylist()]).reshape(-1, DIMENSIONS)
-            keys = curve_keys(points, batch.column(0).to_pylist(), mean, deviation)
-            part = np.searchsorted(bounds, keys, side="right").astype(np.int64)
+            keys = curve_keys(_points(batch), batch.column("tie").to_numpy(zero_copy_only=False), mean, deviation)
+            part = np.searchsorted(bounds, keys, side="right").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(part), pa.array(keys)], names=["doc_id", "text", "range", "key"]
+                [batch.column(0), batch.column(1), pa.array(part), pa.array(keys)], names=["doc_id", "text", "range", "key"]
             )
 
-    placed = chosen.mapInArrow(ranged, f"doc_id {kind}, text string, range long, key long")
-    ordered = placed.repartition(max(1, len(bounds) + 1), "range").sortWithinPartitions("range", "key", "doc_id")
+    placed = located.mapInArrow(ranged, f"doc_id {kind}, text string, range int, key long")
+    ordered = placed.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions("range", "key", "doc_id")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
@@ -192,9 +203,7 @@ def pack(
             for doc_id, content, part in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 if part != current:
                     current, sequence, used = part, 0, 0
-                ids = tokenizer.encode(content or "", allowed_special="all")
-                ids.append(END_TOKEN)
-                data = np.array(ids, "<u4")
+                data = np.append(tokenizer.encode_to_numpy(content or "", allowed_special="all"), END_TOKEN).astype("<u4")
                 at = 0
                 while at < len(data):
                     if used == length:

@@ -243,7 +243,6 @@ def test_packed_ids_are_the_tokenizer_s(spark, table, monkeypatch):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     encoded = tokenizer.encode_batch(table.text.tolist(), add_special_tokens=False)
     ids = {d: np.array([*e.ids, 1], "<u4") for d, e in zip(table.doc_id, encoded, strict=True)}
     pieces = packing.pack(spark.read.parquet(f"{DATA}/documents.parquet")).collect()
@@ -274,6 +273,24 @@ def test_added_tokens_in_plain_text(spark, monkeypatch):
         assert zlib.crc32(data.tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(ids[r["doc_id"]])
 
 
+def test_ranges_hold_about_equal_bytes(spark, monkeypatch):
+    """Long texts count by their bytes; rows repeated with one id spread over ranges."""
+    monkeypatch.setattr(packing, "RANGE_BYTES", 1 << 16)
+    rng = np.random.default_rng(4)
+    data = [(i, "".join(map(chr, rng.integers(97, 123, 20_000 if i % 50 == 0 else 300)))) for i in range(1500)]
+    data += [(7, "the same row " * 20)] * 1500
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(6)
+    pieces = packing.pack(docs).toPandas()
+    sizes = {i: len(t) for i, t in data}
+    of_range = pieces[pieces.start == 0].groupby(pieces.sequence_id // (1 << 40)).doc_id.apply(lambda d: sum(sizes[i] for i in d))
+    total = sum(len(t) for _, t in data)
+    assert total / (1 << 16) / 2 < len(of_range) <= total / (1 << 16) + 1
+    assert of_range.max() <= 2 * (1 << 16) + 40_000
+    assert (pieces[pieces.doc_id == 7].sequence_id // (1 << 40)).nunique() > 1
+    filled = pieces.groupby("sequence_id").length.sum()
+    assert (filled < packing.LENGTH).sum() <= len(of_range)
+
+
 def test_hilbert_is_a_curve():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = grid[np.argsort(packing.hilbert(grid, 3))]
