@@ -28,6 +28,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def renamed_apart(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
+    """`docs` under names that no operator uses inside, and the new names of `columns`.
+
+    Operators that return whole rows work on these and end with `toDF(*docs.columns)`, so a
+    column of any name passes through.
+    """
+    names = [f"column_{i}_of_input" for i in range(len(docs.columns))]
+    return docs.toDF(*names), [names[docs.columns.index(c)] for c in columns]
+
+
 def text_of(docs: DataFrame, column: str = "text") -> Column:
     return F.coalesce(docs[column], F.lit(""))
 

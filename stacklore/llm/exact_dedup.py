@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stacklore.llm.common import lookup_side, text_of
+from stacklore.llm.common import lookup_side, renamed_apart, text_of
 from stacklore.session import materialise
 
 FIRST_BYTES = 64
@@ -110,6 +110,8 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     repeated rows or to different texts under one id; of such rows one per (id, text) that is
     kept stays.
     """
+    columns = docs.columns
+    docs, (id_column, text) = renamed_apart(docs, id_column, text)
     found = materialise(exact_copies(docs, id_column, text).select("doc_id", "kept", "text_sha256"), "radix-result")
     dropped = found.filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
     both = found.filter("kept").join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_semi")
@@ -124,4 +126,4 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         docs[id_column].eqNullSafe(F.col("_kept")) & (F.sha2(text_of(docs, text).cast("binary"), 256) == F.col("_sha")),
         "left_semi",
     ).dropDuplicates([id_column, text])
-    return clean.unionByName(again)
+    return clean.unionByName(again).toDF(*columns)

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stacklore.llm.common import lookup_side, with_row_numbers
+from stacklore.llm.common import lookup_side, renamed_apart, with_row_numbers
 from stacklore.llm.components import components
 from stacklore.llm.shingles import Powers, mixed, shingle_set
 from stacklore.session import materialise
@@ -469,6 +469,8 @@ def verified_links(
 
 def near_parts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n, cls, part) per row of `docs`, written; cls and part are null without shingles."""
+    docs = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
+    id_column, text = "doc_id", "text"
     measured = materialise(measure(docs, id_column, text), "join-measured")
     counts = shingle_counts(measured.filter("counts is not null").select("counts"))
     rows = measured.filter("counts is null").select("doc_id", "n", "cls")
@@ -534,6 +536,8 @@ def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     An id may have several texts; each goes or stays by its own component. Texts without
     shingles stay, of rows repeated with one id and such a text one; all of them without an id.
     """
+    columns = docs.columns
+    docs, (id_column, text) = renamed_apart(docs, id_column, text)
     rows = near_parts(docs, id_column, text)
     rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "cls")
     several = rows.filter("part is not null").groupBy("part").agg(
@@ -556,7 +560,7 @@ def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     single = docs.join(lookup_side(settled, "join-dropped"), docs[id_column].eqNullSafe(F.col("_id")), "left_anti")
     mixed_ids = materialise(ids.filter("n > 1 and some").select(F.col("doc_id").alias("_id")), "join-repeated")
     if mixed_ids.isEmpty():
-        return single
+        return single.toDF(*columns)
     theirs = docs.join(lookup_side(mixed_ids, "join-mixed"), docs[id_column].eqNullSafe(F.col("_id")), "left_semi")
     keys = judged.filter("stays").join(mixed_ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     keys = keys.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls")).distinct()
@@ -568,4 +572,5 @@ def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     plain = F.when(F.col("_class").isNull(), F.coalesce(found[text], F.lit("")))
     free = F.col(id_column).isNull() & F.col("_class").isNull()
     own = kept.filter(~free).withColumn("_plain", plain).dropDuplicates([id_column, "_class", "_plain"])
-    return single.unionByName(own.drop("_class", "_plain")).unionByName(kept.filter(free).drop("_class"))
+    found = single.unionByName(own.drop("_class", "_plain")).unionByName(kept.filter(free).drop("_class"))
+    return found.toDF(*columns)

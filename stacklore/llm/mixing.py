@@ -7,7 +7,7 @@ larger a group than any other.
 Defined cases: null texts count 0 words; a null source is a source of its own and comes last;
 a source without words has target 0 and rate 0; a null doc_id is hashed as the empty string;
 rows repeated with one doc_id share their draws; an empty table gives an empty mix. Other
-columns are carried unread, whatever their names (internal ones start with `_mix_`).
+columns are carried unread, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stacklore.llm.common import lookup_side, text_of, word_count
+from stacklore.llm.common import lookup_side, renamed_apart, text_of, word_count
 from stacklore.session import materialise
 
 LIMIT = 3  # a target stops at this many times its source's size
@@ -107,6 +107,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     The plan is joined back on id, size and source, one row for each such triple, so repeated
     rows multiply only by their own rate.
     """
+    columns = docs.columns
+    docs, (id_column, text, source) = renamed_apart(docs, id_column, text, source)
     plan = mixing_plan(docs, id_column, text, source)
     copies = plan.groupBy(
         F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size")
@@ -119,4 +121,4 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
         & (word_count(text_of(docs, text)) == F.col("_mix_size")),
     )
     repeated = joined.withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    return repeated.select(*[docs[c] for c in docs.columns]).toDF(*columns)

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklore.llm.common import text_of, with_row_numbers
+from stacklore.llm.common import renamed_apart, text_of, with_row_numbers
 
 MASK = (1 << 31) - 1
 MULTIPLIERS = (0x2C1B3C6D, 0x297A2D39)  # odd, below 2**31: products stay within a long
@@ -85,16 +85,22 @@ def permuted(number: Column, n: int, seed: int = 0) -> Column:
 
 
 def shard_rows(rows: DataFrame, order: list[str], shards: int = 24, seed: int = 0) -> DataFrame:
-    """`rows` with shard and slot; `order` decides the global row numbers."""
+    """`rows` with shard and slot; `order` decides the global row numbers.
+
+    Columns of `rows` named shard or slot give way to the new ones; others keep any name.
+    """
     if shards < 1:
         raise ValueError("at least one shard")
-    numbered, n = with_row_numbers(rows, order, "shard-rows", "_row")
+    rows = rows.drop("shard", "slot")
+    columns = rows.columns
+    apart, order = renamed_apart(rows, *order)
+    numbered, n = with_row_numbers(apart, order, "shard-rows", "_row")
     placed = numbered.withColumn("_place", permuted(F.col("_row"), n, seed)).drop("_row")
     return (
         placed.withColumn("shard", (F.col("_place") % shards).cast("int"))
         .withColumn("slot", F.floor(F.col("_place") / shards).cast("long"))
         .drop("_place")
-    )
+    ).toDF(*columns, "shard", "slot")
 
 
 def document_keys(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

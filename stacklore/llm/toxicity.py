@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stacklore.llm.common import renamed_apart
 from stacklore.session import materialise
 
 MAX_ROWS = 6_000  # labelled rows the lexicon is learned from at most
@@ -180,13 +181,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fo
     Labels meet documents by id; the sample is chosen among label rows, which are narrow, so
     only the texts of chosen rows move.
     """
+    labels = labels.select(labels["doc_id"], labels[label])
     usable = labels.filter(labels[label].isin(0, 1) & labels["doc_id"].isNotNull()).filter(
         ~held_out(labels["doc_id"], folds, fold_no)
     )
     one = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     side = F.broadcast(materialise(chosen.withColumnRenamed("doc_id", "_id"), "training-ids"))  # `limit` rows at most
-    rows = docs.join(side, docs["doc_id"] == F.col("_id")).select(docs["doc_id"], docs["text"], "_label")
+    narrow = docs.select(docs["doc_id"], docs["text"])
+    rows = narrow.join(side, narrow["doc_id"] == F.col("_id")).select("doc_id", "text", "_label")
     first = F.min(F.struct(F.sha2(F.col("text").cast("binary"), 256).alias("sha"), "text"))
     return rows.groupBy("doc_id", "_label").agg(first.alias("_first")).select("doc_id", F.col("_first.text").alias("text"), "_label")
 
@@ -275,7 +278,8 @@ def without_toxic(
     docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text: str = "text"
 ) -> DataFrame:
     """Rows of `docs` that score below the threshold, all columns as they were."""
-    at = docs.columns.index(text)
+    columns, at = docs.columns, docs.columns.index(text)
+    docs, _ = renamed_apart(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
@@ -286,4 +290,4 @@ def without_toxic(
             keep = [not lexicon.fitted or 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) < threshold for z in odds]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema).toDF(*columns)
