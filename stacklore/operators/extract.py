@@ -1,7 +1,7 @@
 """Records out of a table of fetched pages `(url, html[, fetched_at])`.
 
-Each extractor is a projection over the page text with built-in regex functions, so it
-runs where the page is read and only narrow records move between executors.
+Each extractor is a projection over the page's elements (`functions/markup.py`), so it runs
+where the page is read and only narrow records move between executors.
 """
 
 from __future__ import annotations
@@ -9,20 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stacklore.functions.text import (
-    attribute,
-    decode_entities,
-    element_body,
-    first_match,
-    from_end,
-    inner_text,
-    leading_int,
-    open_tag,
-    strip,
-    strip_base,
-    stripped_pieces,
-    url_join,
-)
+from stacklore.functions import markup
+from stacklore.functions.text import from_end, leading_int, strip_base, url_join
 from stacklore.operators.dedup import first_seen, latest_per_key
 from stacklore.session import scratch_path
 
@@ -42,9 +30,7 @@ def _extracted_at(pages: DataFrame) -> Column:
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Every anchor with a target: (url, pos, href, target), in page order from 0."""
-    anchors = F.regexp_extract_all(F.col("html"), F.lit(r"(?s)<a\b[^>]*>"), F.lit(0))
-    found = pages.select("url", F.posexplode(anchors).alias("pos", "_tag"))
-    found = found.select("url", "pos", decode_entities(attribute(F.col("_tag"), "href")).alias("href"))
+    found = pages.select("url", F.posexplode(markup.hrefs(F.col("html"))).alias("pos", "href"))
     found = found.filter(F.col("href").isNotNull())
     return found.withColumn("target", url_join(F.col("url"), F.col("href")))
 
@@ -60,19 +46,12 @@ def extract_category_links(
     """
     base = base_url.rstrip("/")
     home = pages.filter(F.col("url") == f"{base}/index.html")
-    nav = first_match(F.col("html"), rf"(?s){open_tag('ul', 'nav-list')}.*?<ul\b[^>]*>.*?</ul\s*>")
-    nested = F.regexp_replace(nav, r"(?s)^<ul\b[^>]*>.*?(?=<ul\b)", "")
-    items = F.regexp_extract_all(
-        required(nested, "home page has no category list"),
-        F.lit(r"(?s)<li\b[^>]*>.*?<a\b[^>]*>"),
-        F.lit(0),
-    )
-    links = home.select(F.posexplode(items).alias("category_pos", "_item"))
+    menu = markup.menu_hrefs(F.col("html")).alias("_menu")
+    hrefs = F.coalesce("_menu", F.raise_error(F.lit("home page has no category list")).cast("array<string>"))
+    links = home.select(menu).select(F.posexplode(hrefs).alias("category_pos", "_href"))
     if max_categories is not None:
         links = links.filter(F.col("category_pos") < max_categories)
-    tag = F.regexp_replace(F.col("_item"), r"(?s)^.*?(?=<a\b)", "")
-    href = decode_entities(required(attribute(tag, "href"), "category link without target"))
-    links = links.select("category_pos", href.alias("_href"))
+    links = links.select("category_pos", required(F.col("_href"), "category link without target").alias("_href"))
     slug = from_end(F.col("_href"), "/", 2)
     return links.select(
         "category_pos",
@@ -83,24 +62,20 @@ def extract_category_links(
 
 def extract_categories(pages: DataFrame, links: DataFrame) -> DataFrame:
     """(category_id, category_name, extracted_at) from the heading of each category page."""
-    header = first_match(
-        F.col("html"), rf"(?s){open_tag('div', 'page-header')}.*?<h1\b[^>]*>.*?</h1\s*>"
-    )
     headings = pages.select(
-        "url", element_body(header, "h1").alias("_heading"), _extracted_at(pages).alias("extracted_at")
+        "url", markup.heading(F.col("html")).alias("_heading"), _extracted_at(pages).alias("extracted_at")
     )
     headings = latest_per_key(headings, "url", "extracted_at").filter(F.col("_heading").isNotNull())
     joined = links.join(headings, F.col("category_url") == F.col("url"), "left")
     name = required(F.col("_heading"), "category page without heading")
-    return joined.select("category_id", inner_text(name).alias("category_name"), "extracted_at")
+    return joined.select("category_id", name.alias("category_name"), "extracted_at")
 
 
 def next_page_edges(pages: DataFrame) -> DataFrame:
     """(url, next_url) for every page by its latest fetch; NULL on the last page of a listing."""
-    item = element_body(F.col("html"), "li", "next")
-    href = attribute(first_match(item, r"(?s)<a\b[^>]*>"), "href")
-    found = pages.select("url", decode_entities(href).alias("_href"), _extracted_at(pages).alias("_at"))
-    found = found.select("url", url_join(F.col("url"), F.col("_href")).alias("next_url"), "_at")
+    found = pages.select("url", markup.next_button(F.col("html")).alias("_next"), _extracted_at(pages).alias("_at"))
+    href = F.when(F.col("_next").isNotNull(), required(F.col("_next.href"), "next button without link"))
+    found = found.select("url", url_join(F.col("url"), href).alias("next_url"), "_at")
     return latest_per_key(found, "url", "_at", ["next_url"]).drop("_at")
 
 
@@ -147,30 +122,15 @@ def page_order(edges: DataFrame, links: DataFrame) -> DataFrame:
 
 def listing_cards(pages: DataFrame) -> DataFrame:
     """Product cards of every page by its latest fetch: (url, pos, title, price, rating_word, href, extracted_at)."""
-    cards = F.regexp_extract_all(
-        F.col("html"), F.lit(rf"(?s){open_tag('article', 'product_pod')}.*?</article\s*>"), F.lit(0)
-    )
     # A page without cards keeps a row, so that it can replace an older fetch that had some.
     # The fetch is numbered before its cards are apart.
-    fetches = pages.withColumn("_fetch", F.monotonically_increasing_id())
-    found = fetches.select(
-        "url", "_fetch", F.xxhash64("html").alias("_text"),
-        F.posexplode_outer(cards).alias("pos", "_card"), _extracted_at(pages).alias("extracted_at"),
+    fetches = pages.withColumn("_fetch", F.monotonically_increasing_id()).select(
+        "url", "_fetch", F.xxhash64("html").alias("_text"), markup.cards(F.col("html")).alias("_cards"),
+        _extracted_at(pages).alias("extracted_at"),
     )
-    card = F.col("_card")
-    anchor = first_match(element_body(card, "h3"), r"(?s)<a\b[^>]*>")
-    rating = attribute(first_match(card, open_tag("p", "star-rating")), "class")
-    classes = F.split(F.regexp_replace(rating, r"^\s+|\s+$", ""), r"\s+")
+    found = fetches.select("url", "_fetch", "_text", F.posexplode_outer("_cards").alias("pos", "_card"), "extracted_at")
     records = found.select(
-        "url",
-        "_fetch",
-        "_text",
-        "pos",
-        decode_entities(attribute(anchor, "title")).alias("title"),
-        inner_text(element_body(card, "p", "price_color")).alias("price"),
-        F.try_element_at(classes, F.lit(2)).alias("rating_word"),
-        decode_entities(attribute(anchor, "href")).alias("href"),
-        "extracted_at",
+        "url", "_fetch", "_text", "pos", "_card.title", "_card.price", "_card.rating_word", "_card.href", "extracted_at"
     )
     order = Window.partitionBy("url").orderBy(F.col("extracted_at").desc_nulls_first(), "_text", "_fetch")
     latest = records.withColumn("_rank", F.rank().over(order)).filter((F.col("_rank") == 1) & F.col("pos").isNotNull())
@@ -209,41 +169,17 @@ def detail_urls(crawl: DataFrame) -> DataFrame:
 
 def parse_detail(pages: DataFrame) -> DataFrame:
     """Fields of product detail pages with the reason a page cannot be used, NULL when it can."""
-    text = F.col("html")
-    table = first_match(text, rf"(?s){open_tag('table', 'table-striped')}.*?</table\s*>")
-    rows = F.regexp_extract_all(table, F.lit(r"(?s)<tr\b[^>]*>.*?(?=<tr\b|</table)"), F.lit(0))
-    cells = F.transform(
-        rows,
-        lambda r: F.struct(
-            F.regexp_substr(r, F.lit(r"(?s)<th\b[^>]*>.*?</th\s*>")).alias("th"),
-            F.regexp_substr(r, F.lit(r"(?s)<td\b[^>]*>.*?</td\s*>")).alias("td"),
-        ),
-    )
-    stock = element_body(text, "p", "instock")
-    tag = open_tag(r"(\w+)", element_id="product_description")
-    section = first_match(text, rf"(?s){tag}.*?</\1\s*>[^<]*(?:<!--.*?-->[^<]*)*<p\b[^>]*>.*?</p\s*>")
-    body = F.regexp_extract(section, r"(?s).*<p\b[^>]*>(.*?)</p\s*>\z", 1)
-    picked = pages.select(
-        "url",
-        table.isNull().alias("_no_table"),
-        F.exists(cells, lambda c: c.th.isNull() | c.td.isNull()).alias("_bad_row"),
-        _table_value(cells, "UPC").alias("_upc"),
-        _table_value(cells, "Number of reviews").alias("_reviews"),
-        stock.alias("_stock"),
-        F.when(section.isNotNull(), body).alias("_description"),
-        _extracted_at(pages).alias("extracted_at"),
-    )
-    fields = picked.select(
+    read = pages.select("url", markup.detail(F.col("html")).alias("_d"), _extracted_at(pages).alias("extracted_at"))
+    reviews, stock = F.col("_d.reviews"), F.col("_d.stock")
+    fields = read.select(
         "url",
-        "_no_table",
-        "_bad_row",
-        F.coalesce(inner_text(F.col("_upc")), F.lit("")).alias("upc"),
-        leading_int(inner_text(F.col("_stock"))).alias("num_in_stock"),
-        F.when(F.col("_reviews").isNull(), F.lit(0))
-        .otherwise(inner_text(F.col("_reviews")).try_cast("int"))
-        .alias("num_reviews"),
-        F.col("_stock").isNull().alias("_no_stock"),
-        stripped_pieces(F.col("_description")).alias("description"),
+        F.col("_d.no_table").alias("_no_table"),
+        F.col("_d.bad_row").alias("_bad_row"),
+        F.coalesce("_d.upc", F.lit("")).alias("upc"),
+        leading_int(stock).alias("num_in_stock"),
+        F.when(reviews.isNull(), F.lit(0)).otherwise(reviews.try_cast("int")).alias("num_reviews"),
+        stock.isNull().alias("_no_stock"),
+        F.col("_d.description").alias("description"),
         "extracted_at",
     )
     reason = (
@@ -260,14 +196,6 @@ def parse_detail(pages: DataFrame) -> DataFrame:
     return latest_per_key(found, "url", "extracted_at")
 
 
-def _table_value(cells: Column, label: str) -> Column:
-    """Value of the last row headed `label`."""
-    named = F.filter(
-        cells, lambda c: strip(F.regexp_replace(c.th, r"(?s)<[^>]*>", "")) == F.lit(label)
-    )
-    return F.try_element_at(named, F.lit(-1)).getField("td")
-
-
 def extract_detail(pages: DataFrame, urls: DataFrame, base_url: str) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): raw inventory rows, and (book_url, reason) for pages left out.
 

@@ -138,13 +138,31 @@ def home_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listed = shelves.agg(F.array_sort(F.collect_list(F.struct("shelf", item.alias("li")))).alias("s"))
     html = F.concat(
-        F.lit('<ul class="nav nav-list"><li><a href="catalogue/category/books_1/index.html">Books</a><ul>\n'),
+        F.lit('<p title="a </ul> b"><UL CLASS="nav nav-list"><li><a href="catalogue/category/books_1/index.html">Books</a><ul>\n'),
+        F.lit('<!-- <li><a href="catalogue/category/books/gone_1/index.html">Gone</a></li></ul> -->'),
         F.array_join(F.transform("s", lambda s: s.li), "\n"),
-        F.lit("</ul></li></ul>"),
+        F.lit('</ul></li></UL><ul class="nav-list"><li><a href="x_9/index.html">elsewhere</a></li></ul>'),
     )
     return listed.select(F.lit(f"{SHOP}/index.html").alias("url"), html.alias("html"))
 
 
+def _card_forms(rating: Column, href: Column, title: Column, price: Column) -> list[list]:
+    """One card in four forms of markup: plain, upper case, unquoted with a card in a comment, unclosed."""
+    gone = '<article class="product_pod"><h3><a href="gone" title="gone"></a></h3></article>'
+    return [
+        ['<article class="product_pod"><p class="star-rating ', rating, '"></p>\n<h3><a href="', href, '" title="', title,
+         '">short..</a></h3><div><p class="price_color"> ', price, "</p></div></article>"],
+        ['<ARTICLE CLASS="product_pod"><P CLASS="star-rating ', rating, '"></P>\n<H3><A data-note="a > b" HREF="', href,
+         '" TITLE="', title, '">short..</A></H3><P CLASS="price_color"> ', price, "</P></ARTICLE>"],
+        [f"<!-- {gone} --><article class=product_pod><p class='star-rating ", rating, "'></p>\n<script>var a = '", gone,
+         "';</script><h3><b></b><a title=\"", title, '" href=\'', href, "'>short..</a></h3><p class=price_color>", price,
+         "</p></article >"],
+        ['<div class="product_pod"><article class="card product_pod"><p class="star-rating ', rating,
+         '"></p>\n<div><h3><a rel = "x>" href = "', href, '" title = "', title, '">short..</h3></div><section><p class="x price_color"> ',
+         price, "</section></article></div>"],
+    ]
+
+
 def shelf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages of at most 20 cards per shelf, linked by next buttons."""
     placed = (
@@ -156,11 +174,12 @@ def shelf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     depth = F.when(F.col("p_size") == 50, F.lit("../../../../")).otherwise(F.lit("../../../"))
     href = F.concat(depth, F.replace(_book_url(), F.lit("catalogue/"), F.lit("")))
     title = _escaped(F.concat("p_name", F.lit(" & "), "p_brand"))
-    card = F.concat(
-        F.lit('<article class="product_pod"><p class="star-rating '), _rating(F.col("p_size")),
-        F.lit('"></p>\n<h3><a href="'), href, F.lit('" title="'), title,
-        F.lit('">short..</a></h3><div><p class="price_color"> '), _price(F.col("p_retailprice")),
-        F.lit("</p></div></article>"),
+    price = _price(F.col("p_retailprice"))
+    rating = _rating(F.col("p_size"))
+    card = F.element_at(
+        F.array(*[F.concat(*[F.lit(part) if isinstance(part, str) else part for part in form])
+                  for form in _card_forms(rating, href, title, price)]),
+        (F.col("place") % 4 + 1).cast("int"),
     )
     pages = placed.groupBy("shelf", "page_no").agg(
         F.array_sort(F.collect_list(F.struct("place", card.alias("card")))).alias("cards")
@@ -192,18 +211,19 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     upc = F.when(F.col("p_size") == 49, F.lit("")).otherwise(
         F.concat(F.lit("<tr><th>UPC</th><td>u"), F.col("p_partkey").cast("string"), F.lit("</td></tr>\n"))
     )
-    facts = F.when(F.col("p_size") == 50, F.lit("")).otherwise(
+    facts = F.when(F.col("p_size") == 50, F.lit('<!-- <table class="table-striped"></table> -->')).otherwise(
         F.concat(
-            F.lit('<table class="table table-striped">'), upc,
-            F.lit("<tr><th> Number of reviews </th><td>"), size, F.lit("</td></tr></table>"),
+            F.lit('<TABLE summary="1 > 0" class="table table-striped">'), upc,
+            F.lit("<tr><th> Number of <i>reviews</i> </th><td>"), size, F.lit("</td></tr></TABLE>"),
         )
     )
     stock = F.when(F.col("p_size") % 10 == 0, F.lit("Out of stock")).otherwise(
         F.concat(F.lit("In stock ("), size, F.lit(" available)"))
     )
-    about = F.when(F.col("text").isNull(), F.lit("")).otherwise(
+    beside = '<div id="product_description"></div><section><p>not beside it</p></section>'
+    about = F.when(F.col("text").isNull(), F.lit(beside)).otherwise(
         F.concat(
-            F.lit('<div id="product_description"><h2>D</h2></div>\n<p>'), _escaped(F.col("text")),
+            F.lit('<div id=product_description><div><h2>D</h2></div><p>within</p></div><!-- <p>old</p> -->\n<p title="</p>">'), _escaped(F.col("text")),
             F.lit("</p>"),
         )
     )
