@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stacklore.functions.text import utc_timestamp
+from stacklore.sources.split_csv import csv_records
 from stacklore.sources.tables import overwrite_table, qualified
 
 # Fixed values of the file contract.
@@ -23,19 +24,10 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-READ_OPTIONS = {
-    **CSV_OPTIONS,
-    "multiLine": "true",
-    "mode": "FAILFAST",
-    # Columns bind by position and every column is parsed, so a changed column count is
-    # an error even for a plan that needs one column only.
-    "enforceSchema": "true",
-    "columnPruning": "false",
-    "recursiveFileLookup": "true",
-    "pathGlobFilter": "*.csv",
-}
+FILE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+# Line ends within quotes stay as they are.
+PARSE_OPTIONS = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"mode": "FAILFAST", "multiLine": "true"}
 SOURCE_FILE = "_source_file"
-# A quoted field may hold line breaks, so a reader cannot split a file: keep files small.
 MAX_RECORDS_PER_FILE = 1_000_000
 
 
@@ -72,30 +64,31 @@ def write_raw_csv(
     return path
 
 
-def text_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
-
-
 def typed(column: str, kind: T.DataType) -> Column:
     """Null words to NULL, then the declared type; text that does not fit is an error."""
     text = F.when(~F.col(column).isin(*NULL_WORDS), F.col(column))
     if isinstance(kind, T.TimestampNTZType):
-        return utc_timestamp(text).alias(column)
-    return text.cast(kind).alias(column)
+        return utc_timestamp(text)
+    return text.cast(kind)
 
 
-def apply_contract(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Raw text columns to `schema`, with the file each row came from as last column."""
-    return raw.select(
-        *(typed(f.name, f.dataType) for f in schema),
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+def load_csv(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """All `*.csv` files of `paths` under the contract, with the file each row came from as last column.
+
+    Files are read by byte ranges. Columns bind by position, and every record is parsed whole,
+    so a changed column count is an error even for a plan that needs one column only.
+    """
+    raw = ", ".join(f"c{i} string" for i in range(len(schema)))
+    parsed = F.from_csv(F.col("record"), raw, PARSE_OPTIONS)
+    rows = csv_records(spark, paths, FILE_OPTIONS).select("file", F.inline(F.array(parsed)))
+    return rows.select(
+        *(typed(f"c{i}", f.dataType).alias(f.name) for i, f in enumerate(schema)), F.col("file").alias(SOURCE_FILE)
     )
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All `*.csv` files below `path` as one bag of rows. Raises when there is no file."""
-    raw = spark.read.options(**READ_OPTIONS).schema(text_schema(schema)).csv(path)
-    return apply_contract(raw, schema)
+    return load_csv(spark, [path], schema)
 
 
 def list_stage(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stacklore.session import has_files, materialise
-from stacklore.sources.csv_drop import READ_OPTIONS, SOURCE_FILE, apply_contract, list_stage, text_schema
+from stacklore.sources.csv_drop import SOURCE_FILE, list_stage, load_csv
 
 # A delivery is a path with the time and length it had when it was listed, so that a file
 # delivered again under its old name is a new one.
@@ -77,8 +77,8 @@ def ingest_new_files(
     for start in range(0, len(fresh), files_per_batch):
         part = fresh[start:start + files_per_batch]
         committed += 1
-        raw = spark.read.options(**READ_OPTIONS).schema(text_schema(schema)).csv([_as_literal(f[0]) for f in part])
-        apply_contract(raw, schema).write.mode("overwrite").parquet(f"{target.rstrip('/')}/load={committed}")
+        rows = load_csv(spark, [_as_literal(f[0]) for f in part], schema)
+        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/load={committed}")
         entries = spark.createDataFrame([(*f, committed) for f in part], LEDGER)
         entries.coalesce(1).write.mode("append").parquet(ledger)
     if purge_files:
