@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stacklore.functions.text import utc_timestamp
+from stacklore.session import materialise
+from stacklore.sources import deliveries
+from stacklore.sources.deliveries import list_stage  # noqa: F401  (part of this module's interface)
 from stacklore.sources.split_csv import csv_records
 from stacklore.sources.tables import overwrite_table, qualified
 
@@ -27,7 +29,9 @@ CSV_OPTIONS = {
 FILE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 # Line ends within quotes stay as they are.
 PARSE_OPTIONS = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"mode": "FAILFAST", "multiLine": "true"}
-SOURCE_FILE = "_source_file"
+SOURCE_FILE, LOAD = "_source_file", "_load"
+MANIFEST = "__loads"
+ENTRY = f"{LOAD} int, path string, length bigint, modified bigint"
 MAX_RECORDS_PER_FILE = 1_000_000
 
 
@@ -91,37 +95,14 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return load_csv(spark, [path], schema)
 
 
-def list_stage(spark: SparkSession, path: str) -> DataFrame:
-    """Files waiting below `path`; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length", "modificationTime")
-    )
-
-
-def purge(spark: SparkSession, files: list[str]) -> None:
-    """Delete exactly these files."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    to_uri = spark._jvm.java.net.URI.create
-
-    def delete(file: str) -> None:
-        path = hadoop_path(to_uri(file))
-        path.getFileSystem(conf).delete(path, False)
-
-    with ThreadPoolExecutor(max_workers=32) as pool:
-        list(pool.map(delete, files))
-
-
 @dataclass(frozen=True)
 class Loaded:
-    """A finished load: the raw table, rows per file, and the files that were read."""
+    """A finished load: the raw table, rows per file, the files that were read, and the rows counted on the way."""
 
     table: DataFrame
     report: DataFrame
     files: list[str]
+    rows: int
 
 
 def load_raw(
@@ -133,35 +114,75 @@ def load_raw(
     mode: str = "replace",
     purge_files: bool = True,
 ) -> Loaded:
-    """Load every CSV below `root/table` into `namespace.table`.
-
-    "replace" overwrites the table, so a retry gives the same result; "append" keeps
-    earlier rows. Files are removed only after the write has succeeded, and only those
-    this load listed: later arrivals wait for the next load.
+    """Load every CSV delivery below `root/table` into `namespace.table`.
+
+    "replace" overwrites the table with what waits; "append" adds the deliveries that are not
+    in it. Rows carry the number of their load, and the manifest `table__loads` names each
+    load's deliveries before its rows are stored: a delivery is in the table if a load naming
+    it has rows there. So a load that a crash cut off is loaded once by the next, whichever
+    step it had reached. Deliveries are deleted last, and only while they are still the files
+    this load read.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
-    rows = read_raw_csv(spark, f"{root.rstrip('/')}/{table}", schema)
-    files = list(rows.inputFiles())
-    name = qualified(namespace, table)
+    name, manifest = qualified(namespace, table), qualified(namespace, f"{table}{MANIFEST}")
+    here = materialise(deliveries.waiting(spark, f"{root.rstrip('/')}/{table}"), "load-waiting")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {manifest} ({ENTRY}) USING parquet")
+    entries = spark.table(manifest)
+    last = entries.agg(F.max(LOAD)).first()[0]
+    load = 0 if last is None else last + 1
+    todo = here
+    if mode == "append":
+        todo = here.join(_in_table(spark, name, entries), deliveries.COLUMNS, "left_anti")
+    files = sorted(tuple(r) for r in todo.select(*deliveries.COLUMNS).collect())
+    if not files and mode == "replace":
+        raise FileNotFoundError(f"no CSV file below {root.rstrip('/')}/{table}")
+    counted: list[int] = []
+
+    def stage(files: list[deliveries.Delivery]) -> None:
+        nonlocal staged
+        seen = Observation("load")
+        paths = [deliveries.as_literal(f[0]) for f in files]
+        rows = load_csv(spark, paths, schema) if paths else spark.createDataFrame([], _stored(schema)).drop(LOAD)
+        staged = materialise(rows.withColumn(LOAD, F.lit(load)).observe(seen, F.count(F.lit(1)).alias("rows")), "load-rows")
+        counted[:] = [seen.get["rows"]]
+
+    staged = None
+    files = deliveries.read_steadily(spark, files, stage)
+    intent = spark.createDataFrame([(load, *f) for f in files], ENTRY)
+    intent.coalesce(1).write.mode("append").format("parquet").saveAsTable(manifest)
     if mode == "replace":
-        overwrite_table(rows, name)
+        overwrite_table(staged, name)
     else:
-        rows.write.mode("append").format("parquet").saveAsTable(name)
+        _append(spark, staged, name)
     if purge_files:
-        purge(spark, files)
+        # Also what an earlier load took and did not come to delete.
+        old = here.join(_in_table(spark, name, spark.table(manifest)), deliveries.COLUMNS, "left_semi")
+        deliveries.purge(spark, sorted({*files, *(tuple(r) for r in old.select(*deliveries.COLUMNS).collect())}))
     stored = spark.table(name)
-    # The driver's own file listing; in append mode the table holds earlier files too.
-    listed = spark.createDataFrame([(f,) for f in files], "file string")
-    loaded = stored.join(
-        listed, _path_form(F.col(SOURCE_FILE)) == _path_form(F.col("file")), "left_semi"
-    )
-    return Loaded(stored.drop(SOURCE_FILE), load_report(loaded), files)
+    report = load_report(stored.filter(F.col(LOAD) == load))
+    return Loaded(stored.drop(SOURCE_FILE, LOAD), report, [f[0] for f in files], counted[0])
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema, T.StructField(SOURCE_FILE, T.StringType()), T.StructField(LOAD, T.IntegerType())])
+
+
+def _in_table(spark: SparkSession, name: str, entries: DataFrame) -> DataFrame:
+    """Deliveries of the manifest whose load has rows in the table."""
+    if not spark.catalog.tableExists(name) or LOAD not in spark.table(name).columns:
+        return entries.limit(0)
+    return entries.join(spark.table(name).select(LOAD).distinct(), LOAD, "left_semi")
 
 
-def _path_form(path: Column) -> Column:
-    """One spelling for local paths: file:/x and file:///x are the same file."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+def _append(spark: SparkSession, rows: DataFrame, name: str) -> None:
+    if spark.catalog.tableExists(name) and LOAD not in spark.table(name).columns:
+        # A table declared or filled otherwise: its rows belong to no load.
+        old = spark.table(name)
+        kind = {f.name: f.dataType for f in rows.schema}
+        missing = [F.lit(None).cast(kind[c]).alias(c) for c in rows.columns if c not in old.columns]
+        overwrite_table(old.select("*", *missing).select(*rows.columns), name)
+    rows.write.mode("append").format("parquet").saveAsTable(name)
 
 
 def load_report(stored: DataFrame) -> DataFrame:

@@ -2,44 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stacklore.session import has_files, materialise
-from stacklore.sources.csv_drop import SOURCE_FILE, list_stage, load_csv
+from stacklore.sources import deliveries
+from stacklore.sources.csv_drop import SOURCE_FILE, load_csv
 
-# A delivery is a path with the time and length it had when it was listed, so that a file
-# delivered again under its old name is a new one.
-DELIVERY = ["path", "length", "modified"]
 LEDGER = "path string, length bigint, modified bigint, load int"
 FILES_PER_LOAD = 10_000
 
 
-def _as_literal(path: str) -> str:
-    """The path with glob characters escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
-def _purge_unchanged(spark: SparkSession, files: list[tuple[str, int, int]]) -> None:
-    """Delete these deliveries; a file that has changed since it was listed stays."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def delete(file: tuple[str, int, int]) -> None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file[0])
-        system = path.getFileSystem(conf)
-        if system.exists(path):
-            status = system.getFileStatus(path)
-            if (status.getLen(), status.getModificationTime()) == file[1:]:
-                system.delete(path, False)
-
-    with ThreadPoolExecutor(max_workers=32) as pool:
-        list(pool.map(delete, files))
-
-
 def ingest_new_files(
     spark: SparkSession,
     path: str,
@@ -53,8 +27,9 @@ def ingest_new_files(
 
     Rows go to `target/load=<n>`; then `checkpoint/files` records the deliveries of load n,
     which commits it. A load that did not get so far is overwritten by the next run and is
-    not part of the result. Only recorded deliveries are removed, and only while the file is
-    still the one that was listed, so one that arrives meanwhile waits for the next run.
+    not part of the result. A file replaced while it is read is left out of the load, and only
+    recorded deliveries are removed while they are still the files that were listed, so one
+    that arrives meanwhile waits for the next run.
     """
     ledger = f"{checkpoint.rstrip('/')}/files"
 
@@ -63,28 +38,30 @@ def ingest_new_files(
             return spark.read.schema(LEDGER).parquet(ledger)
         return spark.createDataFrame([], LEDGER)
 
-    listed = materialise(
-        list_stage(spark, path).filter(F.col("path").endswith(".csv")).select(
-            "path", "length", F.unix_millis("modificationTime").alias("modified")
-        ),
-        "ingest-listed",
-    )
+    listed = materialise(deliveries.waiting(spark, path), "ingest-listed")
+    stored_schema = T.StructType([*schema, T.StructField(SOURCE_FILE, T.StringType())])
     past = recorded()
     last = past.agg(F.max("load")).first()[0]
     committed = -1 if last is None else last
     # A reader needs the names of the files it is to read on the driver; contents stay away.
-    fresh = sorted(tuple(r) for r in listed.join(past, DELIVERY, "left_anti").select(*DELIVERY).collect())
+    fresh = sorted(tuple(r) for r in listed.join(past, deliveries.COLUMNS, "left_anti").select(*deliveries.COLUMNS).collect())
     for start in range(0, len(fresh), files_per_batch):
         part = fresh[start:start + files_per_batch]
         committed += 1
-        rows = load_csv(spark, [_as_literal(f[0]) for f in part], schema)
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/load={committed}")
+        place = f"{target.rstrip('/')}/load={committed}"
+
+        def write(files: list[deliveries.Delivery]) -> None:
+            paths = [deliveries.as_literal(f[0]) for f in files]
+            rows = load_csv(spark, paths, schema) if paths else spark.createDataFrame([], stored_schema)
+            rows.write.mode("overwrite").parquet(place)  # noqa: B023
+
+        part = deliveries.read_steadily(spark, part, write)
         entries = spark.createDataFrame([(*f, committed) for f in part], LEDGER)
         entries.coalesce(1).write.mode("append").parquet(ledger)
     if purge_files:
-        done = listed.join(recorded(), DELIVERY, "left_semi").select(*DELIVERY)
-        _purge_unchanged(spark, [tuple(r) for r in done.collect()])
+        done = listed.join(recorded(), deliveries.COLUMNS, "left_semi").select(*deliveries.COLUMNS)
+        deliveries.purge(spark, [tuple(r) for r in done.collect()])
     if committed < 0:
-        return spark.createDataFrame([], T.StructType([*schema, T.StructField(SOURCE_FILE, T.StringType())]))
+        return spark.createDataFrame([], stored_schema)
     stored = spark.read.option("basePath", target).parquet(target)
     return stored.filter(F.col("load") <= committed).drop("load")

@@ -126,3 +126,91 @@ def test_namespaces_and_tables(spark):
     assert spark.table(name).count() == 0
     view = tables.publish_view(spark.createDataFrame(BOOKS, schemas.RAW_BOOKS), "stg_view")
     assert view.count() == len(BOOKS)
+
+
+CATEGORY = "category_id,category_name,extracted_at\n"
+
+
+def files_in(root):
+    return sorted(f for _, _, files in os.walk(root) for f in files if f.endswith(".csv"))
+
+
+def load_categories(spark, root, space, **how):
+    return csv_drop.load_raw(spark, str(root), "raw_categories", schemas.RAW_CATEGORIES, space, **how)
+
+
+def ids(loaded):
+    return sorted(r.category_id for r in loaded.table.collect())
+
+
+def test_file_replaced_during_a_load_is_neither_lost_nor_mixed(spark, tmp_path, monkeypatch):
+    """The other file is loaded and deleted; the replaced one waits in its new form."""
+    spark.sql("create schema if not exists replaced_load")
+    drop(tmp_path, "raw_categories/a.csv", CATEGORY + "1,a,\n")
+    drop(tmp_path, "raw_categories/b.csv", CATEGORY + "2,b,\n")
+    real = csv_drop.load_csv
+
+    def read_then_deliver(*args):
+        rows = real(*args)
+        if not os.path.exists(f"{tmp_path}/once"):
+            drop(tmp_path, "once", "")
+            drop(tmp_path, "raw_categories/b.csv", CATEGORY + "22,new,\n")
+        return rows
+
+    monkeypatch.setattr(csv_drop, "load_csv", read_then_deliver)
+    first = load_categories(spark, tmp_path, "replaced_load", mode="append")
+    assert ids(first) == [1] and first.rows == 1 and files_in(tmp_path) == ["b.csv"]
+    second = load_categories(spark, tmp_path, "replaced_load", mode="append")
+    assert ids(second) == [1, 22] and files_in(tmp_path) == []
+
+
+def test_file_delivered_again_after_the_read_is_not_deleted(spark, tmp_path, monkeypatch):
+    spark.sql("create schema if not exists again_load")
+    drop(tmp_path, "raw_categories/a.csv", CATEGORY + "1,a,\n")
+    real = csv_drop.overwrite_table
+
+    def store_then_deliver(*args):
+        drop(tmp_path, "raw_categories/a.csv", CATEGORY + "2,second,\n")
+        return real(*args)
+
+    monkeypatch.setattr(csv_drop, "overwrite_table", store_then_deliver)
+    assert ids(load_categories(spark, tmp_path, "again_load")) == [1]
+    assert files_in(tmp_path) == ["a.csv"]
+
+
+@pytest.mark.parametrize("step", ["_append", "purge"])
+def test_append_after_a_crash_loads_once(spark, tmp_path, monkeypatch, step):
+    space = f"crash_{step.strip('_')}"
+    spark.sql(f"create schema if not exists {space}")
+    drop(tmp_path, "raw_categories/a.csv", CATEGORY + "1,a,\n")
+    owner = csv_drop if step == "_append" else csv_drop.deliveries
+
+    def crash(*args):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(owner, step, crash)
+        load_categories(spark, tmp_path, space, mode="append")
+    assert files_in(tmp_path) == ["a.csv"]
+    for _ in range(2):
+        assert ids(load_categories(spark, tmp_path, space, mode="append")) == [1]
+    assert files_in(tmp_path) == []
+    drop(tmp_path, "raw_categories/a.csv", CATEGORY + "1,a,\n")
+    assert ids(load_categories(spark, tmp_path, space, mode="append")) == [1, 1]
+
+
+def test_append_to_a_declared_table(spark, tmp_path):
+    spark.sql("create schema if not exists declared_load")
+    name = tables.qualified("declared_load", "raw_categories")
+    tables.ensure_table(spark, name, schemas.RAW_CATEGORIES)
+    drop(tmp_path, "raw_categories/a.csv", CATEGORY + "1,a,\n")
+    assert ids(load_categories(spark, tmp_path, "declared_load", mode="append")) == [1]
+
+
+def test_replace_without_files_keeps_the_table(spark, tmp_path):
+    spark.sql("create schema if not exists empty_load")
+    drop(tmp_path, "raw_categories/a.csv", CATEGORY + "1,a,\n")
+    load_categories(spark, tmp_path, "empty_load")
+    with pytest.raises(FileNotFoundError):
+        load_categories(spark, tmp_path, "empty_load")
+    assert spark.table("empty_load.raw_categories").count() == 1

@@ -150,3 +150,27 @@ def test_stream_latest_equals_batch(spark, tmp_path):
     run()
     batch = latest_per_key(df.withColumn("m", -F.col("n")), "k", "ts", ["m"]).drop("m")
     assert rows(latest.read_latest(spark, target, ["k"])) == rows(batch)
+
+
+def test_file_replaced_between_listing_and_reading_is_loaded_once(spark, tmp_path, monkeypatch):
+    root, target, checkpoint = f"{tmp_path}/drop", f"{tmp_path}/raw", f"{tmp_path}/cp"
+    os.makedirs(root)
+
+    def deliver(name, body):
+        with open(f"{root}/{name}.csv", "w") as f:
+            f.write(f"category_id,category_name,extracted_at\n{body},2024-01-01T00:00:00Z\n")
+
+    deliver("same", "1,a")
+    deliver("other", "2,b")
+    real, calls = ingest.load_csv, []
+
+    def replace_then_read(*args):
+        if not calls:
+            deliver("same", "33,longer")
+        calls.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(ingest, "load_csv", replace_then_read)
+    seen = [sorted(r.category_id for r in ingest.ingest_new_files(spark, root, schemas.RAW_CATEGORIES, target, checkpoint).collect())
+            for _ in range(3)]
+    assert seen == [[2], [2, 33], [2, 33]] and csv_files(root) == []
