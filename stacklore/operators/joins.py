@@ -26,3 +26,11 @@ def keep_keys(df: DataFrame, keys: DataFrame, column: str, limit: int = BROADCAS
     """Rows of `df` whose `column` is among `keys` (one column, same name)."""
     wanted = counted(keys.select(F.col(column).alias("_key")), "keys", limit)
     return df.join(wanted, F.col(column) == F.col("_key"), "left_semi")
+
+
+def require_unique(df: DataFrame, key: str) -> None:
+    """Fail when `key` is missing or met twice; only keys are shuffled."""
+    several = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(key).isNull())
+    first = several.first()
+    if first is not None:
+        raise ValueError(f"{key} {first[0]!r} is no unique key: {first['_n']} rows")

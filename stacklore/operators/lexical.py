@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stacklore.functions.text import tokens
 from stacklore.operators.blocks import question_blocks
+from stacklore.operators.joins import require_unique
 from stacklore.operators.ranking import top_k
 from stacklore.operators.topk_kernel import SCORE_DIGITS
 from stacklore.session import materialise
@@ -49,24 +50,29 @@ def _unit_weights(weighted: DataFrame, key: str) -> DataFrame:
 
 
 def build_lexical_index(docs: DataFrame, id_col: str, text_col: str) -> LexicalIndex:
-    """Index `docs` by `text_col`; `id_col` must be unique.
+    """Index `docs` by `text_col`; an `id_col` that is not unique is refused.
 
     Token counts and the vocabulary are written once: both are read by the weights, and
     the vocabulary by every search. The join on terms is broadcast when the vocabulary is
     measured small and is otherwise a sort-merge join whose hot terms the skew join splits.
     The weights stay lazy, partitioned by document; save the index to search it repeatedly.
     """
+    require_unique(docs, id_col)
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     counts = materialise(term_counts(keyed, "doc_id", "_text"), "term-counts")
-    n_docs = docs.count()
     found_in = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return LexicalIndex(*weights(counts, found_in, docs.count()), docs, id_col)
+
+
+def weights(counts: DataFrame, found_in: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
+    """Unit-length (doc_id, term, weight) of (doc_id, term, tf), and (term, idf) of (term, df)."""
     idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
     # A term of every document has no weight.
     terms = materialise(found_in.select("term", idf.alias("idf")).filter("idf > 0"), "terms")
     weighted = counts.join(terms, "term").select(
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("_w")
     )
-    return LexicalIndex(_unit_weights(weighted, "doc_id"), terms, docs, id_col)
+    return _unit_weights(weighted, "doc_id"), terms
 
 
 def question_terms(questions: DataFrame, terms: DataFrame, qid: str, text_col: str) -> DataFrame:

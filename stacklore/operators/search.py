@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stacklore.functions.json import flatten_json
+from stacklore.operators.blockmax import BlockIndex, search_blocks
 from stacklore.operators.dense import DenseIndex, Embedder, embed, search_dense
 from stacklore.operators.joins import BROADCAST_ROWS
 from stacklore.operators.lexical import LexicalIndex, search_lexical
 
 DEFAULT_LIMIT = 5
+# Titles are not unique; two books of one title are two documents.
+KEY = "book_url"
 RETURN_COLUMNS = (
     "book_title", "category_name", "price_gbp", "rating_stars", "description", "stock_status",
     "num_in_stock",
@@ -28,20 +31,23 @@ PREVIEW_FIELDS = {
 
 
 def build_search_docs(dim: DataFrame) -> DataFrame:
-    """Documents to index: attributes plus `search_text`; rows without description are left out."""
+    """Documents to index: attributes, `search_text`, and the key of a dimension that has it.
+
+    Rows without description are left out.
+    """
     text = F.concat(
         "book_title", F.lit(" ["), F.coalesce("category_name", F.lit("")), F.lit("]: "),
         F.coalesce("description", F.lit("")),
     )
     return dim.filter(F.col("description").isNotNull()).select(
-        "book_title", "category_name", "price_gbp", "rating_stars", "stock_status",
+        *([KEY] if KEY in dim.columns else []), "book_title", "category_name", "price_gbp", "rating_stars", "stock_status",
         "num_in_stock", "description", text.alias("search_text"),
     )
 
 
 def search(
     questions: DataFrame,
-    index: LexicalIndex | DenseIndex,
+    index: LexicalIndex | BlockIndex | DenseIndex,
     k: int = DEFAULT_LIMIT,
     columns: Sequence[str] = RETURN_COLUMNS,
     where: Column | None = None,
@@ -55,7 +61,9 @@ def search(
     the counted questions keep that small, hits are broadcast to the document scan, so
     that document texts are not shuffled. Beyond, both sides are joined by document id.
     """
-    if isinstance(index, LexicalIndex):
+    if isinstance(index, BlockIndex):
+        hits, docs = search_blocks(questions, index, k, where, qid, text_col), index.docs
+    elif isinstance(index, LexicalIndex):
         hits, docs = search_lexical(questions, index, k, where, qid, text_col), index.docs
     else:
         if embedder is None:
@@ -69,7 +77,7 @@ def search(
     return joined.select("qid", "rank", "score", *(F.col(f"_c_{c}").alias(c) for c in columns))
 
 
-def search_preview(requests: DataFrame, index: LexicalIndex | DenseIndex, **kwargs) -> DataFrame:
+def search_preview(requests: DataFrame, index: LexicalIndex | BlockIndex | DenseIndex, **kwargs) -> DataFrame:
     """Answer JSON requests {query, columns, limit} with JSON {"results": [...]}.
 
     `requests` is (qid, request); the result is (qid, response). A request without a limit

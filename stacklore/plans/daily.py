@@ -1,4 +1,4 @@
-"""The daily run: load, stage, build marts, test."""
+"""The daily run: load, stage, build marts, bring the search index up to date, test."""
 
 from __future__ import annotations
 
@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from stacklore import schemas
-from stacklore.operators import quality
+from stacklore.operators import postings_log, quality, search
 from stacklore.plans import marts, staging
 from stacklore.plans.suite import BOOK_SUITE
 from stacklore.sources.csv_drop import load_raw
-from stacklore.sources.tables import ensure_namespaces, layer_schema, overwrite_table, publish_view, qualified
+from stacklore.sources.tables import ensure_namespaces, layer_schema, publish, qualified
 
 STAGING = {
     "stg_books": (staging.stg_books, "raw_books"),
@@ -39,6 +39,14 @@ def load_all(
     }
 
 
+def refresh_search(spark: SparkSession, staged: dict[str, DataFrame], path: str) -> DataFrame:
+    """Bring the search index to the state of the staged tables; gives what changed."""
+    dim = marts.dim_books(*(staged[name] for name in STAGING), (*marts.DIM_COLUMNS, search.KEY))
+    past = postings_log.versions(spark, path)
+    docs = search.build_search_docs(dim)
+    return postings_log.refresh_postings(docs, path, search.KEY, "search_text", past[-1] + 1 if past else 0)
+
+
 def build(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -46,14 +54,18 @@ def build(
     default: str = "default",
     layer_by_layer: bool = False,
     strict: bool = True,
+    search_index: str | None = None,
 ) -> Built:
-    """Staging views, mart tables, then the data tests; failures raise when `strict`.
+    """Staging and mart builds behind views, the search index, then the data tests.
 
-    `layer_by_layer` tests staging before any mart is built.
+    Failures raise when `strict`; `layer_by_layer` tests staging before any mart is built.
+    `search_index` is the folder of the postings log that is kept in step with the dimension.
     """
     ensure_namespaces(spark, target, default)
-    space = layer_schema("MARTS", target, default)
-    tables = {name: publish_view(model(raw[source]), name) for name, (model, source) in STAGING.items()}
+    staged, space = layer_schema("STAGING", target, default), layer_schema("MARTS", target, default)
+    tables = {
+        name: publish(model(raw[source]), qualified(staged, name)) for name, (model, source) in STAGING.items()
+    }
 
     def tested(names: list[str]) -> DataFrame:
         result = quality.report(tables, {n: BOOK_SUITE[n] for n in names})
@@ -64,10 +76,12 @@ def build(
     if layer_by_layer:
         tested(list(STAGING))
     dim = marts.dim_books(*(tables[name] for name in STAGING))
-    tables["dim_books"] = overwrite_table(dim, qualified(space, "dim_books"))
+    tables["dim_books"] = publish(dim, qualified(space, "dim_books"))
     for name, model in (
         ("mart_category_summary", marts.mart_category_summary),
         ("mart_price_bands", marts.mart_price_bands),
     ):
-        tables[name] = overwrite_table(model(tables["dim_books"]), qualified(space, name))
+        tables[name] = publish(model(tables["dim_books"]), qualified(space, name))
+    if search_index is not None:
+        refresh_search(spark, tables, search_index)
     return Built(tables, tested(list(BOOK_SUITE)))

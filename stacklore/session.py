@@ -76,6 +76,17 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return system.exists(folder) and len(system.listStatus(folder)) > 0
 
 
+def complete_parts(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the finished folders `<name>=<number>` below a path, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    found = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
+    return [n for n in found if system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}={n}/_SUCCESS"))]
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and return the written table.
 

@@ -1,4 +1,4 @@
-"""Namespaces per layer, and how layers are stored: raw and marts as tables, staging as views."""
+"""Namespaces per layer, and how layers are stored: raw as tables, staging and marts as builds behind views."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 LAYERS = ("RAW", "STAGING", "MARTS")
+BUILD = "__build"
 
 
 def layer_schema(custom: str | None, target: str, default: str) -> str:
@@ -52,6 +53,35 @@ def overwrite_table(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def builds(spark: SparkSession, name: str) -> list[str]:
+    """Stored builds of a published table, oldest first."""
+    space, table = (part.strip("`") for part in name.split("."))
+    found = spark.sql(f"SHOW TABLES IN `{space}` LIKE '{table}{BUILD}*'").collect()
+    numbers = sorted(int(r.tableName.split(BUILD)[-1]) for r in found if r.tableName.split(BUILD)[-1].isdigit())
+    return [qualified(space, f"{table}{BUILD}{n}") for n in numbers]
+
+
+def publish(df: DataFrame, name: str, keep: int = 2) -> DataFrame:
+    """Full rebuild behind a view: stored under a name of its own, then shown by replacing the view.
+
+    The view is replaced in one catalog step, so a reader finds one whole build at any time and
+    another session finds it too; a failed build is never shown. The newest `keep` builds stay,
+    for readers that have started on the one before.
+    """
+    spark = df.sparkSession
+    space, table = (part.strip("`") for part in name.split("."))
+    past = builds(spark, name)
+    number = 1 + (int(past[-1].strip("`").split(BUILD)[-1]) if past else 0)
+    fresh = qualified(space, f"{table}{BUILD}{number}")
+    df.write.format("parquet").saveAsTable(fresh)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # stored in place by an earlier release
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fresh}")
+    for old in [*past, fresh][:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return spark.table(name)
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Session view, evaluated when read."""
     df.createOrReplaceTempView(name)

@@ -67,8 +67,8 @@ _CTE = {
                nullif(trim(description), '') as description, extracted_at
         from (select * from raw_inventory
               {_latest('book_url', 'upc num_in_stock num_reviews description')})""",
-    "dim_books": """
-        select b.book_title, b.price_gbp, b.rating_stars, b.rating_word, b.category_id,
+    "catalogue": """
+        select b.book_url, b.book_title, b.price_gbp, b.rating_stars, b.rating_word, b.category_id,
                c.category_name, i.upc, i.num_in_stock, i.num_reviews, i.description,
                case when i.num_in_stock = 0 then 'Out of Stock'
                     when i.num_in_stock < 5 then 'Low Stock' else 'Available' end as stock_status,
@@ -76,34 +76,36 @@ _CTE = {
         from stg_books b
         left join stg_categories c on b.category_id = c.category_id
         left join stg_inventory i on b.book_url = i.book_url""",
+    "dim_books": "select * exclude (book_url) from catalogue",
     "mart_category_summary": f"""
         select category_id, category_name, count(*) as total_books,
                {_mean('price_gbp')} as avg_price_gbp,
                min(price_gbp) as min_price_gbp, max(price_gbp) as max_price_gbp,
                {_mean('rating_stars')} as avg_rating_stars,
                cast(sum(num_in_stock) as bigint) as total_stock,
-               count(case when stock_status = 'Out of Stock' then 1 end) as out_of_stock_count,
-               count(case when stock_status = 'Low Stock' then 1 end) as low_stock_count
+               count(*) filter (stock_status = 'Out of Stock') as out_of_stock_count,
+               count(*) filter (stock_status = 'Low Stock') as low_stock_count
         from dim_books group by category_id, category_name""",
-    "banded": """
-        select *, rank() over (partition by price_band
-                               order by rating_stars desc nulls first, price_gbp asc nulls last) as rank_in_band
-        from (select *, case when price_gbp < 10 then 'A: Under £10'
-                             when price_gbp < 20 then 'B: £10–£20'
-                             when price_gbp < 30 then 'C: £20–£30'
-                             when price_gbp < 40 then 'D: £30–£40'
-                             else 'E: £40 and above' end as price_band
-              from dim_books)""",
+    # the letter of a band: how many of the four bounds a price has reached; no price is the last band
+    "bands": """
+        select unnest(['A: Under £10', 'B: £10–£20', 'C: £20–£30', 'D: £30–£40', 'E: £40 and above']) as price_band,
+               unnest(range(5)) as step""",
+    "in_band": """
+        select d.*, price_band from dim_books d
+        join bands on step = coalesce(least(greatest(cast(floor(price_gbp / 10) as integer), 0), 4), 4)""",
+    "best_of_band": """
+        select price_band, arg_min((rating_stars, price_gbp), (-coalesce(rating_stars, 99), coalesce(price_gbp, 1e9))) as best
+        from in_band group by price_band""",
     "mart_price_bands": f"""
         select price_band, count(*) as total_books,
                {_mean('price_gbp')} as avg_price_gbp, {_mean('rating_stars')} as avg_rating_stars,
-               max(case when rank_in_band = 1 then book_title end) as top_rated_book,
-               max(case when rank_in_band = 1 then category_name end) as top_rated_book_category
-        from banded group by price_band""",
+               max(book_title) filter ((rating_stars, price_gbp) is not distinct from best) as top_rated_book,
+               max(category_name) filter ((rating_stars, price_gbp) is not distinct from best) as top_rated_book_category
+        from in_band join best_of_band using (price_band) group by price_band""",
     "search_docs": """
-        select book_title, category_name, price_gbp, rating_stars, stock_status, num_in_stock, description,
+        select book_url, book_title, category_name, price_gbp, rating_stars, stock_status, num_in_stock, description,
                book_title || ' [' || coalesce(category_name, '') || ']: ' || coalesce(description, '') as search_text
-        from dim_books where description is not null""",
+        from catalogue where description is not null""",
     # text search: indexed(id, body) and asked(qid, question) come from the statement
     "doc_tf": """
         select id, term, count(*) as tf
@@ -123,12 +125,12 @@ _CTE = {
     "scored": """
         select qid, id, round(sum(w * qw), 9) as score from doc_w join ask_w using (term) group by qid, id""",
     "asked": "select item_id as qid, text as question from benchmark",
-    "indexed": "select book_title as id, search_text as body from search_docs",
+    "indexed": "select book_url as id, search_text as body from search_docs",
     "hits": """
         select h.qid, h.rank, h.score, s.*
         from (select qid, id, score, row_number() over (partition by qid order by score desc, id) as rank
               from scored qualify rank <= 5) h
-        join search_docs s on s.book_title = h.id""",
+        join search_docs s on s.book_url = h.id""",
     "prompts": f"""
         select q.qid,
                '{answers.INSTRUCTION}' || chr(10) || chr(10)
@@ -165,7 +167,7 @@ _CTE = {
         from cards left join documents on p_partkey = doc_id where p_size not in (48, 50)""",
 }
 
-_BOOKS = ["raw_books", "raw_categories", "raw_inventory", "stg_books", "stg_categories", "stg_inventory", "dim_books"]
+_BOOKS = ["raw_books", "raw_categories", "raw_inventory", "stg_books", "stg_categories", "stg_inventory", "catalogue", "dim_books"]
 _SEARCH = ["indexed", "asked", "doc_tf", "idf", "doc_w", "ask_w", "scored"]
 _BOOK_SEARCH = [*_BOOKS, "search_docs", *_SEARCH, "hits"]
 
@@ -205,10 +207,10 @@ def _suite_sql() -> str:
 
 def statements() -> dict[str, str]:
     dim = _BOOKS
-    bands = [*_BOOKS, "banded", "mart_price_bands"]
+    bands = [*_BOOKS, "bands", "in_band", "best_of_band", "mart_price_bands"]
     event_latest = """
         select * from events
-        qualify row_number() over (partition by user_id, event_type order by ts desc nulls first, event_id {}) = 1"""
+        qualify row_number() over (partition by user_id, event_type order by ts desc nulls first, event_id) = 1"""
     links = """
         select url, cast(unnest(range(len(tags))) as integer) as pos, unnest(tags) as tag
         from (select url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) as tags from pages)"""
@@ -236,8 +238,8 @@ def statements() -> dict[str, str]:
         for n in ["cards", "page_categories", *bands]
     ) + "\nselect * from mart_price_bands"
     return {
-        "dedup_latest": event_latest.format(""),
-        "stream_latest": event_latest.format("desc"),
+        "dedup_latest": event_latest,
+        "stream_latest": event_latest,
         "dedup_first_seen": "select * from part qualify row_number() over (partition by p_name order by p_partkey) = 1",
         "stg_books": _sql(["raw_books", "stg_books"], "select * from stg_books"),
         "stg_categories": _sql(["raw_categories", "stg_categories"], "select * from stg_categories"),
@@ -253,14 +255,18 @@ def statements() -> dict[str, str]:
             """select m.price_band, total_books, avg_price_gbp, avg_rating_stars,
                       t.book_title as top_rated_book, t.category_name as top_rated_book_category
                from mart_price_bands m join (
-                   select price_band, book_title, category_name from banded where rank_in_band = 1
+                   select price_band, book_title, category_name from in_band join best_of_band using (price_band)
+                   where (rating_stars, price_gbp) is not distinct from best
                    qualify row_number() over (partition by price_band
                        order by book_title desc nulls last, category_name desc nulls last) = 1
                ) t on t.price_band = m.price_band""",
         ),
         "price_rank": _sql(
-            [*dim, "banded"],
-            "select book_title, price_gbp, rating_stars, category_name, price_band, rank_in_band from banded",
+            [*dim, "bands", "in_band"],
+            """select book_title, price_gbp, rating_stars, category_name, price_band,
+                      rank() over (partition by price_band
+                                   order by rating_stars desc nulls first, price_gbp nulls last) as rank_in_band
+               from in_band""",
         ),
         "csv_roundtrip": """
             select 'doc/' || doc_id as book_url,
@@ -270,6 +276,14 @@ def statements() -> dict[str, str]:
                    timestamp '2024-01-01 10:00:00.123456' as extracted_at
             from documents""",
         "load_report": "select 2 * count(*) as rows_loaded, cast(least(2 * count(*), 1000) as bigint) as largest_file from part",
+        "load_replace": _sql(["raw_books"], "select * from raw_books where category_id >= 10"),
+        "load_append": _sql(["raw_books"], "select * from raw_books"),
+        "load_redelivered": _sql(
+            ["raw_books"],
+            """select category_id, count(*) as n_rows,
+                      cast((select count(*) from raw_books where category_id >= 10) as integer) as last_load
+               from raw_books group by category_id""",
+        ),
         "incremental_load": "select * from events",
         "page_links": f"select url, pos, tag as href from ({links})",
         "url_resolve": f"""
@@ -336,12 +350,20 @@ def statements() -> dict[str, str]:
                where rank <= 5""",
             indexed="select doc_id as id, text as body from documents",
         ),
+        "search_refreshed": _sql(
+            ["old", "new", *_SEARCH],
+            """select qid, id as doc_id, cast(rank as integer) as rank, round(score, 6) as score
+               from (select *, row_number() over (partition by qid order by score desc, id) as rank from scored)
+               where rank <= 5""",
+            **{k: snapshots[k] for k in ("old", "new")},
+            indexed="select doc_id as id, text as body from new",
+        ),
         "search_filter": _sql(
             [*dim, "search_docs", *_SEARCH],
             """select qid, cast(rank as integer) as rank, book_title, price_gbp, round(score, 6) as score
                from (select qid, score, book_title, price_gbp,
                             row_number() over (partition by qid order by score desc, id) as rank
-                     from scored join search_docs on book_title = id
+                     from scored join search_docs on book_url = id
                      where price_gbp < 20 and stock_status <> 'Out of Stock')
                where rank <= 5""",
         ),
@@ -397,6 +419,6 @@ def statements() -> dict[str, str]:
         ),
         "dq_expression": "select c_custkey, c_acctbal from customer where not (c_acctbal >= 0)",
         "dq_report": _sql(
-            [*dim, "mart_category_summary", "banded", "mart_price_bands"], _suite_sql()
+            [*bands, "mart_category_summary"], _suite_sql()
         ),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from stacklore import schemas
 from stacklore.functions.json import json_field
 from stacklore.functions.text import element_body, inner_text, from_end
-from stacklore.operators import dense, extract, lexical, quality, refresh, search
+from stacklore.operators import blockmax, dense, extract, lexical, postings_log, quality, refresh, search
 from stacklore.operators.dedup import first_seen, latest_per_key
 from stacklore.plans import answer as answers
 from stacklore.plans import marts, suite
@@ -128,6 +129,37 @@ def load_report(spark, d):
     return report.agg(F.sum("rows_loaded").alias("rows_loaded"), F.max("rows_loaded").alias("largest_file"))
 
 
+def _loads(spark, d, mode, purge_files, deliveries):
+    """The raw table after loading book files, one load per delivered part of them."""
+    space, root = f"loads_{uuid.uuid4().hex}", scratch_path(spark, "drops")
+    spark.sql(f"CREATE SCHEMA `{space}` LOCATION '{scratch_path(spark, 'tables')}'")
+    books = t.raw_books(spark, d)
+    for stamp, part in enumerate(deliveries):
+        if part is not None:
+            csv_drop.write_raw_csv(books.filter(part), root, "raw_books", str(stamp))
+        loaded = csv_drop.load_raw(spark, root, "raw_books", schemas.RAW_BOOKS, space, mode, purge_files)
+    return loaded
+
+
+@query
+def load_replace(spark, d):
+    """Two loads; the second one's files are all the table holds."""
+    return _loads(spark, d, "replace", True, ["category_id < 10", "category_id >= 10"]).table
+
+
+@query
+def load_append(spark, d):
+    return _loads(spark, d, "append", True, ["category_id < 10", "category_id >= 10"]).table
+
+
+@query
+def load_redelivered(spark, d):
+    """Files stay after their load: a load that finds nothing new adds nothing, the next one only what is new."""
+    loaded = _loads(spark, d, "append", False, ["category_id < 10", None, "category_id >= 10"])
+    rows = loaded.table.groupBy("category_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.withColumn("last_load", F.lit(loaded.rows))
+
+
 @query
 def incremental_load(spark, d):
     events = t.table(spark, d, "events")
@@ -149,7 +181,7 @@ def stream_latest(spark, d):
     keys = ["user_id", "event_type"]
     state = latest.latest_state(stream, keys, "ts", ["event_id"])
     target = scratch_path(spark, "latest")
-    latest.write_latest(state, target, scratch_path(spark, "checkpoint")).awaitTermination()
+    latest.write_latest(state, target, scratch_path(spark, "checkpoint"), keys).awaitTermination()
     return latest.read_latest(spark, target, keys)
 
 
@@ -282,13 +314,12 @@ def _questions(spark, d):
 
 
 def _search_docs(spark, d):
-    return search.build_search_docs(t.dimension(spark, d))
+    return search.build_search_docs(t.dimension(spark, d, (*marts.DIM_COLUMNS, search.KEY)))
 
 
 def _book_index(spark, d):
-    return lexical.build_lexical_index(
-        materialise(_search_docs(spark, d), "search-docs"), "book_title", "search_text"
-    )
+    docs = materialise(_search_docs(spark, d), "search-docs")
+    return blockmax.block_index(lexical.build_lexical_index(docs, search.KEY, "search_text"))
 
 
 @query
@@ -299,7 +330,19 @@ def search_docs(spark, d):
 @query
 def search_lexical_topk(spark, d):
     index = lexical.build_lexical_index(t.text_table(spark, d, "documents", "doc_id"), "doc_id", "text")
-    hits = lexical.search_lexical(_questions(spark, d), index, k=5)
+    hits = blockmax.search_blocks(_questions(spark, d), blockmax.block_index(index), k=5)
+    return hits.select("qid", "doc_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query
+def search_refreshed(spark, d):
+    """Search of an index that was written once and refreshed once, documents changed, new and gone."""
+    old, new = _snapshots(spark, d)
+    path = scratch_path(spark, "postings")
+    postings_log.refresh_postings(old, path, "doc_id", "text", version=0)
+    postings_log.refresh_postings(new, path, "doc_id", "text", version=1)
+    index = blockmax.block_index(postings_log.open_postings(spark, path, "doc_id"))
+    hits = blockmax.search_blocks(_questions(spark, d), index, k=5)
     return hits.select("qid", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -142,14 +143,32 @@ def test_stream_latest_equals_batch(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-        latest.write_latest(latest.latest_state(stream, ["k"], "ts", ["n"]), target, checkpoint).awaitTermination()
+        state = latest.latest_state(stream, ["k"], "ts", ["n"])
+        latest.write_latest(state, target, checkpoint, ["k"], compact_every=2).awaitTermination()
 
     df.filter("n < 40").repartition(3).write.parquet(source)
     run()
     df.filter("n >= 40").repartition(2).write.mode("append").parquet(source)
     run()
-    batch = latest_per_key(df.withColumn("m", -F.col("n")), "k", "ts", ["m"]).drop("m")
-    assert rows(latest.read_latest(spark, target, ["k"])) == rows(batch)
+    assert rows(latest.read_latest(spark, target, ["k"])) == rows(latest_per_key(df, "k", "ts", ["n"]))
+    # Five batches, compacted after the second and the fourth: a read takes the last compaction and one batch.
+    assert sorted(os.listdir(f"{target}/_current")) == ["upto=1", "upto=3"]
+    read = latest.read_latest(spark, target, ["k"]).inputFiles()
+    assert {f.split("/out/")[1].split("/part")[0] for f in read} == {"_current/upto=3", "batch_id=4"}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "int", "bigint", "double", "decimal(9,2)"])
+def test_stream_order_equals_batch_order(spark, kind):
+    """Ties and NULLs, in the order column and in the tie-break; the state of one batch is the batch form."""
+    at = "null" if kind == "x" else f"cast(case when id % 9 = 0 then null else {'date_add(date\'1969-12-30\', cast(id % 5 as int))' if kind[:2] in ('ti', 'da') else 'id % 5 - 2'} end as {kind})"
+    df = spark.range(90).selectExpr("id % 4 as k", f"{at} as at", "case when id % 7 = 0 then null else id % 6 end as n")
+    state = latest.latest_state(df, ["k"], "at", ["n"])
+    assert rows(state) == rows(latest_per_key(df, "k", "at", ["n"]))
+
+
+def test_stream_refuses_an_order_by_text(spark):
+    with pytest.raises(TypeError, match="string"):
+        latest.latest_state(spark.createDataFrame([("a", "b")], "k string, at string"), ["k"], "at")
 
 
 def test_file_replaced_between_listing_and_reading_is_loaded_once(spark, tmp_path, monkeypatch):
