@@ -4,13 +4,14 @@ Documents are sorted by their heaviest term and cut into blocks, so that documen
 thing share blocks. Per block and term the largest weight is kept. A question's bound on a block
 is the sum of its terms' weights times those maxima: no document of the block scores more.
 
-A search scores each question's blocks of largest bound first. The k-th best score so far is the
-question's threshold; blocks whose bound is below it are never read for that question, and
-nothing is summed for their documents. Further blocks follow in rounds, GROWTH times as many
-each, until none is left that could change the result. Hits are those of the exhaustive search.
-
-Per question and block there is one bound, some BLOCK_DOCS times fewer than documents; per round
-only (question, block) pairs in reach are joined to postings. Nothing is collected.
+A search scores each question's FIRST_BLOCKS blocks of largest bound. The k-th best score among
+them is the question's threshold; of the other blocks only those whose bound reaches it are read
+for that question, and nothing is summed for the documents of the rest. Hits are those of the
+exhaustive search. There is no third pass: every pass scans the postings.
+
+Per question and block there is one bound, some 2**BLOCK_BITS times fewer than documents. What
+is broadcast is counted first; beyond the limit postings meet questions in a shuffled join on
+(block, term).
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stacklore.operators.joins import counted
 from stacklore.operators.lexical import LexicalIndex, question_terms
 from stacklore.operators.ranking import top_k
 from stacklore.operators.topk_kernel import SCORE_DIGITS
 from stacklore.session import materialise
 
 BLOCK_BITS = 6  # 64 documents a block
-FIRST_BLOCKS = 2
-GROWTH = 8
+FIRST_BLOCKS = 4
 # Sums in another order differ in the last digits; bounds are widened by more than that.
 SLACK = 2.0 * 10**-SCORE_DIGITS
 
@@ -61,7 +62,7 @@ def block_index(index: LexicalIndex, block_bits: int = BLOCK_BITS) -> BlockIndex
 
 def _scores(postings: DataFrame, asked: DataFrame, pairs: DataFrame) -> DataFrame:
     """(qid, doc_id, score) of the documents of the given (qid, block) pairs."""
-    wanted = pairs.select("qid", "block").join(asked, "qid").select("qid", "block", "term", "qw")
+    wanted = counted(pairs.select("qid", "block").join(asked, "qid").select("qid", "block", "term", "qw"), "block-terms")
     return postings.join(wanted, ["block", "term"]).groupBy("qid", "doc_id").agg(
         F.round(F.sum(F.col("weight") * F.col("qw")), SCORE_DIGITS).alias("score")
     )
@@ -79,7 +80,7 @@ def search_blocks(
     """(qid, doc_id, score, rank): the k documents closest to every question by cosine.
 
     `where` filters documents by their attributes before scoring. Equal scores are ordered by
-    document id; documents sharing no weighted term with a question are no hits. Each round's
+    document id; documents sharing no weighted term with a question are no hits. Both passes'
     (qid, block) pairs are added to `scored`, if given.
     """
     order = [F.desc("score"), F.asc("doc_id")]
@@ -95,20 +96,11 @@ def search_blocks(
     )
     by_bound = Window.partitionBy("qid").orderBy(F.desc("bound"), "block")
     open_pairs = materialise(bounds.withColumn("place", F.row_number().over(by_bound)), "block-bounds")
-    best, taken, take = None, 0, FIRST_BLOCKS
-    while True:
-        reach = materialise(open_pairs.filter((F.col("place") > taken) & (F.col("place") <= taken + take)), "block-pairs")
-        if scored is not None:
-            scored.append(reach.select("qid", "block"))
-        found = _scores(postings, asked, reach)
-        if best is not None:
-            found = found.unionByName(best)
-        best = materialise(top_k(found, ["qid"], order, k).drop("rank"), "block-best")
-        taken, take = taken + take, take * GROWTH
-        least = best.groupBy("qid").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-        left = open_pairs.filter(F.col("place") > taken).join(least.select("qid", "least"), "qid", "left")
-        open_pairs = materialise(
-            left.filter(F.col("least").isNull() | (F.col("bound") >= F.col("least"))).drop("least"), "block-bounds"
-        )
-        if open_pairs.isEmpty():
-            return top_k(best, ["qid"], order, k)
+    first = open_pairs.filter(F.col("place") <= FIRST_BLOCKS)
+    best = materialise(top_k(_scores(postings, asked, first), ["qid"], order, k).drop("rank"), "block-best")
+    least = best.groupBy("qid").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    others = open_pairs.filter(F.col("place") > FIRST_BLOCKS).join(least.select("qid", "least"), "qid", "left")
+    reach = others.filter(F.col("least").isNull() | (F.col("bound") >= F.col("least")))
+    if scored is not None:
+        scored += [first.select("qid", "block"), reach.select("qid", "block")]
+    return top_k(_scores(postings, asked, reach).unionByName(best), ["qid"], order, k)

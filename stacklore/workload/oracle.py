@@ -350,6 +350,13 @@ def statements() -> dict[str, str]:
                where rank <= 5""",
             indexed="select doc_id as id, text as body from documents",
         ),
+        "search_blocks_topk": _sql(
+            _SEARCH,
+            """select qid, id as doc_id, cast(rank as integer) as rank, round(score, 6) as score
+               from (select *, row_number() over (partition by qid order by score desc, id) as rank from scored)
+               where rank <= 5""",
+            indexed="select doc_id as id, text as body from documents",
+        ),
         "search_refreshed": _sql(
             ["old", "new", *_SEARCH],
             """select qid, id as doc_id, cast(rank as integer) as rank, round(score, 6) as score
