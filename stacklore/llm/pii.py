@@ -36,12 +36,11 @@ from stacklore.session import materialise
 KINDS = ("email", "ip", "card", "phone")
 LABELS = (*KINDS, "none")
 NONE = len(KINDS)
-SKIP_STRENGTH = 4.0  # log-potential for equal labels at the two ends of a skip edge
-SHAPE_SPAN = 2.5  # a token's shape speaks this much against a label at most, so that a skip edge can outweigh it
+SKIP_PRIOR = 50  # agreeing skip edges taken for granted before any is counted
 CHAIN_REACH = 40  # code points between neighbours that share a chain potential
 SUFFIX_DIGITS = 7
 CONFIDENCE = 0.7
-ROUNDS = 30
+SETTLED = 1e-4
 
 # The patterns that define the base kinds. Possessive runs and the look-behind
 # change no match, they keep long runs linear.
@@ -131,21 +130,32 @@ def nodes_of(text: str, spans: list[tuple[int, int, int]]) -> list[Node]:
     return sorted(nodes, key=lambda n: (n.start, n.end))
 
 
+def _checks(content: str) -> str:
+    """Whether a token that looks like a card or an address passes its check; the field weighs it like a shape."""
+    digits = _digits(content)
+    if 13 <= len(digits) <= 19:
+        return f"luhn-{luhn(digits)}"
+    parts = content.split(".")
+    if len(parts) == 4 and all(p and p == _digits(p) for p in parts):
+        return f"ip-{all(len(p) <= 3 and int(p) <= 255 for p in parts)}"
+    return "none"
+
+
 def features(text: str, node: Node) -> list[str]:
     """Shape of a token and of what stands beside it."""
-    content = text[node.start:min(node.end, node.start + 200)]
+    content = text[node.start:node.end]
     digits = sum("0" <= c <= "9" for c in content)
     letters = sum(c.isalpha() for c in content)
     before = text[max(0, node.start - 2):node.start].strip()[-1:]
     return [
         f"digits={min(digits, 24)}", f"letters={min(letters, 24) // 3}", f"dots={min(content.count('.'), 5)}",
-        f"at={min(content.count('@'), 2)}", f"dashes={min(content.count('-'), 4)}", f"plus={content[:1] == '+'}",
+        f"at={min(content.count('@'), 2)}", f"dashes={min(content.count('-'), 4)}",
         f"brackets={'(' in content}", f"equals={'=' in content}", f"before={'sign' if before and not before.isalnum() else 'word'}",
-        f"length={min((node.end - node.start) // 4, 12)}",
+        f"length={min((node.end - node.start) // 4, 12)}", f"check={_checks(content)}",
     ]
 
 
-FEATURES = 25 + 9 + 6 + 3 + 5 + 2 + 2 + 2 + 2 + 13
+FEATURES = 25 + 9 + 6 + 3 + 5 + 2 + 2 + 2 + 13 + 5
 
 
 @dataclass
@@ -153,10 +163,16 @@ class Weights:
     node: dict[str, np.ndarray]
     prior: np.ndarray
     chain: np.ndarray
+    skip: float
 
     @classmethod
-    def from_counts(cls, counts: dict[tuple[str, int], int], pairs: dict[tuple[int, int], int]) -> Weights:
-        """Smoothed log-odds of each feature per label, halved because features overlap."""
+    def from_counts(
+        cls, counts: dict[tuple[str, int], int], pairs: dict[tuple[int, int], int], agree: int = 0, differ: int = 0
+    ) -> Weights:
+        """Smoothed log-odds of each feature per label, halved because features overlap.
+
+        The log-potential of a skip edge is the log-odds that two observed spans it joins agree.
+        """
         n = len(LABELS)
         seen = np.ones(n)
         for (name, label), c in counts.items():
@@ -175,7 +191,7 @@ class Weights:
             together[a, b] += c
         expected = together.sum(1, keepdims=True) * together.sum(0, keepdims=True) / together.sum()
         chain = np.clip(np.log(together / expected), -1.0, 1.0)
-        return cls(potentials, np.log(seen / seen.sum()), chain)
+        return cls(potentials, np.log(seen / seen.sum()), chain, math.log((agree + SKIP_PRIOR) / (differ + 1)))
 
 
 def skip_keys(content: str) -> list[str]:
@@ -203,8 +219,12 @@ def skip_edges(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
     return sorted(edges)
 
 
-def infer(text: str, nodes: list[Node], weights: Weights) -> np.ndarray:
-    """Label marginals by loopy sum-product messages over chain and skip edges."""
+def infer(text: str, nodes: list[Node], weights: Weights) -> tuple[np.ndarray, int]:
+    """Label marginals by loopy sum-product messages over chain and skip edges, and the rounds sent.
+
+    Messages go on until they settle. Damped by half they do on trees after a round per edge of
+    the longest path, and mostly much earlier; loops that swing longer are damped more and more.
+    """
     n = len(LABELS)
     local = np.zeros((len(nodes), n))
     for i, node in enumerate(nodes):
@@ -213,34 +233,36 @@ def infer(text: str, nodes: list[Node], weights: Weights) -> np.ndarray:
             local[i, node.label] = 0.0
             continue
         local[i] = weights.prior + sum((weights.node[f] for f in features(text, node) if f in weights.node), np.zeros(n))
-        local[i] = np.maximum(local[i], local[i].max() - SHAPE_SPAN)
-    skip = SKIP_STRENGTH * np.eye(n)
+    skip = weights.skip * np.eye(n)
     edges = [(a, b, skip) for a, b in skip_edges(text, nodes)]
     edges += [
         (i, i + 1, weights.chain) for i in range(len(nodes) - 1) if nodes[i + 1].start - nodes[i].end <= CHAIN_REACH
     ]
     if not edges:
-        return _normalised(local)
+        return _normalised(local), 0
     source = np.array([e[0] for e in edges] + [e[1] for e in edges])
     target = np.array([e[1] for e in edges] + [e[0] for e in edges])
     potential = np.exp(np.array([e[2] for e in edges] + [e[2].T for e in edges]))
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
     messages = np.full((len(source), n), -math.log(n))
-    for _ in range(ROUNDS):
+    step, rounds = 0.5, 0
+    while True:
+        rounds += 1
         belief = local.copy()
         np.add.at(belief, target, messages)
         incoming = belief[source] - messages[back]
         incoming -= incoming.max(axis=1, keepdims=True)
         fresh = np.log(np.maximum(np.einsum("ei,eij->ej", np.exp(incoming), potential), 1e-300))
         fresh -= fresh.max(axis=1, keepdims=True)
-        fresh = 0.5 * fresh + 0.5 * messages  # damped, so that loops settle
-        moved = np.abs(fresh - messages).max()
-        messages = fresh
-        if moved < 1e-4:
+        moved = step * np.abs(fresh - messages).max()
+        messages = step * fresh + (1 - step) * messages
+        if moved < SETTLED:
             break
+        if rounds > 30 + len(nodes):
+            step *= 0.9
     belief = local.copy()
     np.add.at(belief, target, messages)
-    return _normalised(belief)
+    return _normalised(belief), rounds
 
 
 def _normalised(log_belief: np.ndarray) -> np.ndarray:
@@ -248,42 +270,23 @@ def _normalised(log_belief: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def _supported(nodes: list[Node], edges: list[tuple[int, int]]) -> set[int]:
-    """Nodes that skip edges tie to an observed span, at any distance."""
-    beside: dict[int, list[int]] = defaultdict(list)
-    for a, b in edges:
-        beside[a].append(b)
-        beside[b].append(a)
-    reached = {i for i, node in enumerate(nodes) if node.label is not None}
-    waiting = list(reached)
-    while waiting:
-        for other in beside[waiting.pop()]:
-            if other not in reached:
-                reached.add(other)
-                waiting.append(other)
-    return reached
-
-
-def added_spans(text: str, spans: list[tuple[int, int, int]], weights: Weights) -> list[tuple[int, int, int]]:
-    """Spans of free tokens whose likeliest label is a kind, surely enough.
-
-    Shape alone never adds a span, as the base patterns have judged it already: a token must
-    be tied to a base span by what it repeats.
-    """
+def added_spans(
+    text: str, spans: list[tuple[int, int, int]], weights: Weights
+) -> tuple[list[tuple[int, int, int]], int]:
+    """Free tokens whose marginal gives a kind with CONFIDENCE, as spans, and the rounds of messages sent."""
     nodes = nodes_of(text, spans)
-    if not spans or all(node.label is not None for node in nodes):
-        return []
-    supported = _supported(nodes, skip_edges(text, nodes))
-    marginals = infer(text, nodes, weights)
+    if all(node.label is not None for node in nodes):
+        return [], 0
+    marginals, rounds = infer(text, nodes, weights)
     best = marginals.argmax(axis=1)
     return [
         (int(best[i]), node.start, node.end) for i, node in enumerate(nodes)
-        if node.label is None and i in supported and best[i] != NONE and marginals[i, best[i]] >= CONFIDENCE
-    ]
+        if node.label is None and best[i] != NONE and marginals[i, best[i]] >= CONFIDENCE
+    ], rounds
 
 
 def fit(docs: DataFrame, text: str = "text") -> Weights:
-    """Counts over all documents: shape features per label and labels of neighbours."""
+    """Counts over all documents: shape features per label, labels of neighbours, agreement of skip edges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -297,6 +300,9 @@ def fit(docs: DataFrame, text: str = "text") -> Weights:
                 for i in range(len(nodes) - 1):
                     if nodes[i + 1].start - nodes[i].end <= CHAIN_REACH:
                         counts[f"pair={labels[i]}", labels[i + 1]] += 1
+                for a, b in skip_edges(content, nodes):
+                    if nodes[a].label is not None and nodes[b].label is not None:
+                        counts["skip", int(labels[a] == labels[b])] += 1
         rows = list(counts.items())
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.int32()),
@@ -308,15 +314,16 @@ def fit(docs: DataFrame, text: str = "text") -> Weights:
     counted = hinted.mapInArrow(run, "name string, label int, n long").groupBy("name", "label").agg(F.sum("n").alias("n"))
     rows = materialise(counted, "field-counts").collect()
     pairs = {(int(r["name"][5:]), r["label"]): r["n"] for r in rows if r["name"].startswith("pair=")}
-    counts = {(r["name"], r["label"]): r["n"] for r in rows if not r["name"].startswith("pair=")}
-    return Weights.from_counts(counts, pairs)
+    skips = {r["label"]: r["n"] for r in rows if r["name"] == "skip"}
+    counts = {(r["name"], r["label"]): r["n"] for r in rows if not r["name"].startswith("pair=") and r["name"] != "skip"}
+    return Weights.from_counts(counts, pairs, skips.get(1, 0), skips.get(0, 0))
 
 
 def find(docs: DataFrame, weights: Weights, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) per row of `docs`."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_rounds) per row of `docs`."""
     counts = [f"n_{kind}" for kind in KINDS]
-    names = ["doc_id", *counts, "base_sha256", "spans", "n_added"]
-    kinds = [*[pa.int64()] * len(counts), pa.string(), pa.string(), pa.int64()]
+    names = ["doc_id", *counts, "base_sha256", "spans", "n_added", "n_rounds"]
+    kinds = [*[pa.int64()] * len(counts), pa.string(), pa.string(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,10 +331,10 @@ def find(docs: DataFrame, weights: Weights, id_column: str = "doc_id", text: str
             for content in batch.column(1).to_pylist():
                 content = content or ""
                 base = base_spans(content)
-                added = added_spans(content, base, weights) if _HINT.search(content) else []
+                added, rounds = added_spans(content, base, weights) if _HINT.search(content) else ([], 0)
                 per_kind = Counter(k for k, _, _ in base)
                 digest = hashlib.sha256(joined(base).encode()).hexdigest()
-                rows.append((*[per_kind[k] for k in range(len(KINDS))], digest, joined([*base, *added]), len(added)))
+                rows.append((*[per_kind[k] for k in range(len(KINDS))], digest, joined([*base, *added]), len(added), rounds))
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], names=names
@@ -335,5 +342,5 @@ def find(docs: DataFrame, weights: Weights, id_column: str = "doc_id", text: str
 
     chosen = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join([f"doc_id {kind}", *[f"{c} long" for c in counts], "base_sha256 string, spans string, n_added long"])
+    schema = ", ".join([f"doc_id {kind}", *[f"{c} long" for c in counts], "base_sha256 string, spans string, n_added long, n_rounds long"])
     return chosen.mapInArrow(run, schema)
