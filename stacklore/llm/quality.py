@@ -145,11 +145,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, folds: int
 def vote(vectors: np.ndarray, voters: Voters) -> np.ndarray:
     """Scores of a block of unit vectors: exact products with every labelled vector."""
     cosines = vectors @ voters.vectors.T
+    # Equal vectors have equal cosines but for the last digits, which depend on their place in a block.
+    cosines = np.round(cosines, 9)
     k = min(NEIGHBOURS, len(voters.labels))
-    near = np.argpartition(-cosines, k - 1, axis=1)[:, :k] if k < len(voters.labels) else np.argsort(-cosines, axis=1)
-    weight = np.maximum(np.take_along_axis(cosines, near, 1), 0.0) ** SHARPNESS
+    least = np.partition(cosines, len(voters.labels) - k, axis=1)[:, [len(voters.labels) - k]]
+    above, tied = cosines > least, cosines == least
+    near = above | (tied & (np.cumsum(tied, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    weight = np.where(near, np.maximum(cosines, 0.0), 0.0) ** SHARPNESS
     total = weight.sum(axis=1)
-    share = (weight * voters.labels[near]).sum(axis=1)
+    share = weight @ voters.labels
     return np.where(total > 0, share / np.where(total > 0, total, 1), voters.prior)
 
 
