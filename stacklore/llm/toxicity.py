@@ -2,14 +2,18 @@
 
 Folding: lower case, compatibility forms and accents removed, look-alike letters of other
 scripts and digits or signs used as letters replaced, everything else between words one blank.
-Digits fold only before a letter, after a letter or at a word's start. The lexicon holds whole words (` word `)
+Digits and signs fold before a letter, after a letter or at a word's start; one or two at a word's
+end fold only if the lexicon has the word they give (`garbag3`), and are decoration else (`stupid$$`).
+The lexicon holds whole words (` word `)
 and word beginnings (` begin`), each with a weight: the log-odds of documents that hold it
-being labelled toxic. Phrases that are exceptions cancel the entries inside them. A document's
-features are its summed weights, capped by nothing, and the same normalised by its words; a
-logistic curve over both, fitted on the labelled rows, gives the score.
+being labelled toxic. Phrases that are exceptions cancel the entries inside them: pairs of words
+that mark clean documents although one of the two is an entry, learned from the same rows, and any
+the caller names. A document's features are the logarithm of its summed weights and the weight per
+word, at most 1; a logistic curve over both, fitted on the labelled rows, gives the score.
 
 The lexicon and the curve are fitted on at most `max_rows` labelled rows; scoring reads every
-row and whole texts. Broadcast: the lexicon, at most MAX_ENTRIES entries, and three numbers.
+row and whole texts. The lexicon is as large as those rows make it; it and three numbers travel
+with the code.
 
 Defined cases: null and empty texts score like a text without any match; without labelled rows
 of both kinds the lexicon is empty and every score is 0.0; repeated rows score alike; a null
@@ -22,7 +26,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,9 +38,9 @@ from stacklore.llm.common import renamed_apart
 from stacklore.session import materialise
 
 MAX_ROWS = 6_000  # labelled rows the lexicon is learned from at most
-MAX_ENTRIES = 2_000
 MIN_DOCS = 3  # documents of the toxic side an entry must occur in
 MIN_WEIGHT = 2.5
+MIN_CLEAN = 1.0  # log-odds for clean documents that make a pair of words an exception
 BEGINNINGS = range(4, 9)
 THRESHOLD = 0.3
 # Phrases in which an entry is no insult.
@@ -51,18 +55,21 @@ HOMOGLYPHS = {
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 
 _LEET = re.compile(r"(?:(?<=[a-z])|(?<![a-z0-9@$]))[0134578@$]+(?=[a-z])")
+_TRAILING = re.compile(r"(?<![a-z0-9@$])[a-z]{2,}[0134578@$]{1,2}(?![a-z0-9@$])")
 _LEET_TABLE = str.maketrans(LEET)
 _MARKS = re.compile(r"[̀-ͯ​-‍﻿]")
 _BETWEEN = re.compile(r"[^a-z0-9]+")
 _GLYPH_TABLE = str.maketrans(HOMOGLYPHS)
 
 
-def fold(text: str | None) -> str:
-    """Folded words with one blank before, between and after them."""
+def fold(text: str | None, known=()) -> str:
+    """Folded words with one blank before, between and after them; `known` holds whole words as ` word `."""
     low = (text or "").lower()
     if not low.isascii():
         low = _MARKS.sub("", unicodedata.normalize("NFKD", low)).translate(_GLYPH_TABLE)
     low = _LEET.sub(lambda m: m[0].translate(_LEET_TABLE), low)
+    if known:
+        low = _TRAILING.sub(lambda m: w if f" {(w := m[0].translate(_LEET_TABLE))} " in known else m[0], low)
     return f" {_BETWEEN.sub(' ', low).strip()} "
 
 
@@ -110,7 +117,7 @@ def matched(folded: str, automaton) -> tuple[float, int]:
 
 def features(text: str | None, automaton) -> tuple[float, float, int]:
     """(log of summed weights, weight per word, matches)."""
-    folded = fold(text)
+    folded = fold(text, automaton)
     total, n = matched(folded, automaton)
     words = max(1, folded.count(" ") - 1)
     return math.log1p(total), min(1.0, total / words), n
@@ -149,11 +156,25 @@ def choose_entries(counts: dict[str, tuple[int, int]], clean: int, toxic: int) -
             continue
         if not any(entry[:n] in kept for n in range(1 + BEGINNINGS.start, len(entry))):
             kept[entry] = weighed[entry]
-        if len(kept) >= MAX_ENTRIES:
-            break
     return kept
 
 
+def choose_exceptions(counts: dict[str, tuple[int, int]], clean: int, toxic: int) -> tuple[str, ...]:
+    """Phrases of MIN_DOCS clean documents or more that speak for a clean document."""
+    return tuple(sorted(
+        phrase for phrase, (n0, n1) in counts.items()
+        if n0 >= MIN_DOCS
+        and math.log((n0 + 0.5) / (clean - n0 + 0.5)) - math.log((n1 + 0.5) / (toxic - n1 + 0.5)) >= MIN_CLEAN
+    ))
+
+
+def pairs_of(text: str | None, automaton) -> set[str]:
+    """Pairs of neighbouring words of which an entry of the lexicon covers or begins one."""
+    words = fold(text, automaton).split()
+    hit = [bool(len(automaton)) and matched(f" {w} ", automaton)[1] > 0 for w in words]
+    return {f"{a} {b}" for (a, b), (x, y) in zip(zip(words, words[1:], strict=False), zip(hit, hit[1:], strict=False), strict=True) if x or y}
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[float, float, float]:
     beta = np.zeros(x.shape[1])
     for _ in range(steps):
@@ -194,17 +215,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fo
     return rows.groupBy("doc_id", "_label").agg(first.alias("_first")).select("doc_id", F.col("_first.text").alias("text"), "_label")
 
 
-def entry_counts(sample: DataFrame) -> DataFrame:
-    """(entry, clean, toxic): sampled documents of either label that hold an entry.
-
-    Counted per task first. Entries of fewer than MIN_DOCS toxic documents are of no use.
-    """
+def entry_counts(sample: DataFrame, entries_in: Callable[[str], set[str]]) -> DataFrame:
+    """(entry, clean, toxic): sampled documents of either label that hold an entry, counted per task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[label].update(entries_of(text or ""))
+                counts[label].update(entries_in(text or ""))
         entries = list(counts[0].keys() | counts[1].keys())
         for at in range(0, len(entries), 50_000):
             part = entries[at:at + 50_000]
@@ -214,9 +232,11 @@ def entry_counts(sample: DataFrame) -> DataFrame:
             )
 
     counted = sample.select("text", "_label").mapInArrow(run, "entry string, clean long, toxic long")
-    return counted.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(
-        F.col("toxic") >= MIN_DOCS
-    )
+    return counted.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
+def _odds(of: str, n: int) -> Column:
+    return F.log((F.col(of) + 0.5) / (F.lit(n) - F.col(of) + 0.5))
 
 
 def fit(
@@ -225,16 +245,30 @@ def fit(
 ) -> Lexicon:
     """Learn from at most `max_rows` labelled rows outside the held-out fold.
 
-    Entries are counted where the rows are; the driver gets the entries of several toxic
-    documents, at most 20 * MAX_ENTRIES, and two features per sampled row.
+    Entries are counted where the rows are; the driver gets those of several documents that
+    speak for a label, and two features per sampled row.
     """
     sample = materialise(training_rows(docs, labels, "toxic", folds, fold_no, max_rows), "lexicon-rows")
     totals = {int(r[0]): r[1] for r in sample.groupBy("_label").count().collect()}
     if len(totals) < 2:
         return Lexicon(exceptions=exceptions)
-    found = entry_counts(sample).orderBy(F.desc(F.col("toxic") / (F.col("clean") + 1)), "entry").limit(20 * MAX_ENTRIES)
-    counts = {r["entry"]: (r["clean"], r["toxic"]) for r in found.collect()}
-    lexicon = Lexicon(choose_entries(counts, totals[0], totals[1]), exceptions)
+    clean, toxic = totals[0], totals[1]
+    # A little below the bound, which the driver applies to the few that are left.
+    found = entry_counts(sample, entries_of).filter(F.col("toxic") >= MIN_DOCS).filter(
+        _odds("toxic", toxic) - _odds("clean", clean) >= MIN_WEIGHT - 0.01
+    )
+    lexicon = Lexicon(choose_entries({r["entry"]: (r["clean"], r["toxic"]) for r in found.collect()}, clean, toxic))
+
+    def pairs(text: str, held: list = []) -> set[str]:  # noqa: B006  (one automaton per task)
+        if not held:
+            held.append(lexicon.automaton())
+        return pairs_of(text, held[0])
+
+    phrases = entry_counts(sample, pairs).filter(F.col("clean") >= MIN_DOCS).filter(
+        _odds("clean", clean) - _odds("toxic", toxic) >= MIN_CLEAN - 0.01
+    )
+    learned = choose_exceptions({r["entry"]: (r["clean"], r["toxic"]) for r in phrases.collect()}, clean, toxic)
+    lexicon.exceptions = tuple(dict.fromkeys([*exceptions, *learned]))
     seen = matches(sample.withColumnRenamed("_label", "label"), lexicon, keep=["label"]).collect()
     x = np.array([(1.0, r["log_weight"], r["density"]) for r in seen])
     y = np.array([float(r["label"]) for r in seen])
