@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -148,7 +149,14 @@ def base32(hex_digest: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
+def archive_name(path: str) -> str:
+    """Task and file number of a written archive: the same in every run over the same table."""
+    found = re.search(r"part-(\d+)-.*-c(\d+)", path)
+    return f"{found[1]}-{found[2]}" if found else path.rsplit("/", 1)[-1]
+
+
 def record_id(url: str, date: str, digest: str, path: str, offset: int) -> str:
+    path = archive_name(path)
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {digest} {path} {offset}')}>"
 
 

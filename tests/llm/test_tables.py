@@ -138,3 +138,10 @@ def test_pipeline_stages(spark):
     copies = {r["doc_id"]: r["count"] for r in docs.groupBy("doc_id").count().collect()}
     assert {r["doc_id"]: r["n"] for r in total} == {r["doc_id"]: r["t"] * copies[r["doc_id"]] for r in total}
     assert len(total) == len(copies)
+
+
+def test_record_ids_are_reproducible_and_unique(spark):
+    data = [(i // 2, f"http://h/{i % 5}", f"<p>{i % 3}</p>" * 200) for i in range(60)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3, "page_id")
+    first, second = (rows(warc.archive_pages(pages).select("page_id", "record_id", "record_type")) for _ in range(2))
+    assert first == second and len({r[1] for r in first}) == 60
