@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stacklore.session import materialise
+
 BUCKETS = 4096
 
 
@@ -44,6 +46,20 @@ def question_blocks(df: DataFrame, key: str, max_rows: int) -> list[DataFrame]:
     return blocks
 
 
+def split_large(df: DataFrame, key: str, part: str, max_rows: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows of the keys with at most `max_rows` rows, and the others in blocks.
+
+    The others' rows are dealt by (`key`, `part`), so one key's rows are in several blocks, and
+    what is computed from them is added up over the blocks.
+    """
+    large = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(key)
+    if large.isEmpty():
+        return df, []
+    large = materialise(large, "large-keys")
+    dealt = df.join(large, key, "left_semi").withColumn("_dealt", F.struct(key, part))
+    return df.join(large, key, "left_anti"), [b.drop("_dealt") for b in question_blocks(dealt, "_dealt", max_rows)]
+
+
 def _split_bucket(df: DataFrame, key: str, rows: int, max_rows: int) -> list[DataFrame]:
     parts = 2 * (-(-rows // max_rows))
     part = F.pmod(F.xxhash64(F.lit("split"), key), F.lit(parts))

@@ -8,11 +8,14 @@ row per task across the network instead of all of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stacklore.operators.joins import counted
+
 
 def _names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
@@ -49,6 +52,30 @@ def latest_per_key(
     return first_row(df, keys, latest_order(df, keys, order_by, tiebreak))
 
 
+def latest_then_wide(df: DataFrame, keys: str | Sequence[str], order_by: str, wide: Sequence[str]) -> DataFrame:
+    """`latest_per_key` for rows with long columns, `wide`, that break ties last.
+
+    The other columns alone go through the window; the winners are written, and the rows of
+    `df` that equal one of them are taken with their long columns. Those are sorted only
+    where several rows are equal in everything else, repeated rows for instance.
+    """
+    narrow = [c for c in df.columns if c not in wide]
+    columns = df.select(*narrow)
+    first = counted(first_row(columns, keys, latest_order(columns, keys, order_by)), "latest-narrow")
+
+    def equal_to(rows: DataFrame, winners: DataFrame, how: str) -> DataFrame:
+        winners = winners.select(*(F.col(c).alias(f"_won_{c}") for c in narrow))
+        return rows.join(winners, reduce(Column.__and__, [rows[c].eqNullSafe(winners[f"_won_{c}"]) for c in narrow]), how)
+
+    met = equal_to(columns, first, "left_semi").groupBy(*narrow).agg(F.count(F.lit(1)).alias("_met"))
+    several = counted(met.filter("_met > 1").drop("_met"), "latest-tied")
+    if several.isEmpty():
+        return equal_to(df, first, "left_semi")
+    tied = first_row(equal_to(df, several, "left_semi"), keys, [F.col(c).asc_nulls_last() for c in wide])
+    alone = counted(equal_to(first, several, "left_anti"), "latest-alone")
+    return equal_to(df, alone, "left_semi").unionByName(tied)
+
+
 def first_seen(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row of every key met first when walking the rows in `order_by` order."""
     return first_row(df, keys, [F.col(c).asc_nulls_last() for c in order_by])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklore.functions.text import tokens
-from stacklore.operators.blocks import question_blocks
+from stacklore.operators.blocks import question_blocks, split_large
 from stacklore.operators.joins import require_unique
 from stacklore.operators.ranking import top_k
 from stacklore.operators.topk_kernel import SCORE_DIGITS
@@ -97,21 +97,27 @@ def search_lexical(
     """(qid, doc_id, score, rank): the k documents closest to every question by cosine.
 
     `where` filters documents by their attributes before scoring. Equal scores are ordered
-    by document id. Documents sharing no weighted term with a question are no hits.
+    by document id. Documents sharing no weighted term with a question are no hits. A question
+    of more than `block_terms` terms is scored term block by term block, and its sums meet by
+    (question, document) in one more shuffle.
     """
     postings = index.postings
     if where is not None:
         allowed = index.docs.filter(where).select(F.col(index.id_col).alias("doc_id"))
         postings = postings.join(allowed, "doc_id", "left_semi")
     asked = materialise(question_terms(questions, index.terms, qid, text_col), "question-terms")
-    scored: list[DataFrame] = []
-    for block in question_blocks(asked, "qid", block_terms):
+
+    def sums(block: DataFrame) -> DataFrame:
         terms = F.broadcast(block.select("qid", "term", F.col("weight").alias("_qw")))
-        scored.append(
-            postings.join(terms, "term")
-            .groupBy("qid", "doc_id")
-            .agg(F.round(F.sum(F.col("weight") * F.col("_qw")), SCORE_DIGITS).alias("score"))
-        )
+        found = postings.join(terms, "term").groupBy("qid", "doc_id")
+        return found.agg(F.sum(F.col("weight") * F.col("_qw")).alias("_sum"))
+
+    usual, parts = split_large(asked, "qid", "term", block_terms)
+    summed = [sums(block) for block in question_blocks(usual, "qid", block_terms)]
+    if parts:
+        met = reduce(DataFrame.unionByName, [sums(part) for part in parts])
+        summed.append(met.groupBy("qid", "doc_id").agg(F.sum("_sum").alias("_sum")))
+    scored = [s.select("qid", "doc_id", F.round("_sum", SCORE_DIGITS).alias("score")) for s in summed]
     if not scored:
         q_type = asked.schema["qid"].dataType.simpleString()
         d_type = postings.schema["doc_id"].dataType.simpleString()

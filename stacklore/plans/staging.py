@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stacklore.functions.measures import lookup
-from stacklore.operators.dedup import latest_per_key
+from stacklore.operators.dedup import latest_per_key, latest_then_wide
 
 # Rating words of the listing markup.
 RATING_STARS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
@@ -35,13 +35,18 @@ def stg_categories(raw_categories: DataFrame) -> DataFrame:
     )
 
 
-def stg_inventory(raw_inventory: DataFrame) -> DataFrame:
+def stg_inventory(raw_inventory: DataFrame, late_text: bool = False) -> DataFrame:
     """Latest inventory per book. Without a `description` column the rest is the same.
 
     The text is the last tie-break, so leaving it out (for marts that do not use it) picks
-    rows with the same other values, and the text is then neither read nor sorted.
+    rows with the same other values, and the text is then neither read nor sorted. With
+    `late_text` the texts are read for the latest rows only, in a second pass: for tables
+    with many scrapes per book.
     """
-    latest = latest_per_key(raw_inventory, "book_url", "extracted_at")
+    if late_text and "description" in raw_inventory.columns:
+        latest = latest_then_wide(raw_inventory, "book_url", "extracted_at", ["description"])
+    else:
+        latest = latest_per_key(raw_inventory, "book_url", "extracted_at")
     text = F.nullif(F.trim("description"), F.lit("")).alias("description")
     return latest.select(
         "book_url",

@@ -79,27 +79,33 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
-    """One scrape per order line; the text of the part's document as description."""
-    joined = table(spark, sf_dir, "lineitem")
-    if with_text:
-        docs = table(spark, sf_dir, "documents")
-        joined = joined.join(docs, F.col("l_partkey") == F.col("doc_id"), "left")
+    """One scrape per order line; the text of the part's document as description.
+
+    Columns are computed before the texts are joined, so that a semi join on them is pushed
+    below that join.
+    """
     key = F.col("l_partkey").cast("string")
-    return joined.select(
+    scrapes = table(spark, sf_dir, "lineitem").select(
+        "l_partkey",
         F.concat(F.lit("catalogue/p_"), key, F.lit("/index.html")).alias("book_url"),
         F.concat(F.lit("upc"), key).alias("upc"),
         (F.col("l_quantity").cast("int") % 8).alias("num_in_stock"),
         F.col("l_linenumber").alias("num_reviews"),
-        *([F.col("text").alias("description")] if with_text else []),
         F.col("l_shipdate").alias("extracted_at"),
     )
+    if not with_text:
+        return scrapes.drop("l_partkey")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description"))
+    return scrapes.join(docs, F.col("l_partkey") == F.col("doc_id"), "left").select(
+        "book_url", "upc", "num_in_stock", "num_reviews", "description", "extracted_at"
+    )
 
 
 def staged(spark: SparkSession, sf_dir: str, with_text: bool = True) -> dict[str, DataFrame]:
     return {
         "stg_books": stg_books(raw_books(spark, sf_dir)),
         "stg_categories": stg_categories(raw_categories(spark, sf_dir)),
-        "stg_inventory": stg_inventory(raw_inventory(spark, sf_dir, with_text)),
+        "stg_inventory": stg_inventory(raw_inventory(spark, sf_dir, with_text), late_text=True),
     }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stacklore import schemas
 from stacklore.functions.measures import cosine, exact_mean, plain_price
-from stacklore.operators.dedup import first_seen, latest_per_key
+from stacklore.operators.dedup import first_seen, latest_per_key, latest_then_wide
 from stacklore.plans import marts, staging
 
 
@@ -127,6 +127,22 @@ def test_latest_is_independent_of_partitioning(spark):
     assert results[0] == sorted((r for _, r in want.values()), key=repr)
 
 
+def test_long_columns_read_late_give_the_same(spark):
+    """Ties in everything but the text, repeated rows, NULL keys, times and texts."""
+    def row(i, texts):
+        at = None if i % 13 == 0 else datetime(2024, 1, 1 + i % 3)
+        return (None if i % 17 == 0 else f"u{i % 11}", "upc", i % 2, i % 3, texts[i % len(texts)], at)
+
+    ties = [row(i, ["b", "a", None, "", "c" * 5000]) for i in range(400)]
+    apart = [(f"u{i // 2}", "upc", 1, 1, "old" if i % 2 else "new", datetime(2024, 1, 2 - i % 2)) for i in range(60)]
+    for data in (ties, apart, ties + ties, []):
+        df = spark.createDataFrame(data, schemas.RAW_INVENTORY).repartition(5)
+        late = latest_then_wide(df, "book_url", "extracted_at", ["description"])
+        assert late.columns == df.columns
+        assert rows(late) == rows(latest_per_key(df, "book_url", "extracted_at"))
+        assert rows(staging.stg_inventory(df, late_text=True)) == rows(staging.stg_inventory(df))
+
+
 def test_null_keys_form_one_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "k string, ts int")
     assert rows(latest_per_key(df, "k", "ts")) == [("a", 1), (None, 2)]

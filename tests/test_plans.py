@@ -71,6 +71,14 @@ def test_inventory_join_reuses_the_dedup_shuffle(merge_joins, fresh):
     assert text.count("Exchange hashpartitioning") == 4
 
 
+def test_late_text_is_neither_sorted_nor_windowed(spark):
+    """Texts are joined to the latest rows only, which a broadcast cuts out before."""
+    df = staging.stg_inventory(t.raw_inventory(spark, DATA), late_text=True)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Sort" not in text
+    assert text.index("LeftOuter") < text.index("LeftSemi")  # from the top: the winners first, then their texts
+
+
 def test_unused_dimensions_are_not_joined(fresh):
     s = [f(fresh[n]) for f, n in (
         (staging.stg_books, "raw_books"), (staging.stg_categories, "raw_categories"),

@@ -70,6 +70,17 @@ def test_lexical_blocks_give_the_same(corpus):
     assert ranked(lexical.search_lexical(q, index, k=4, block_terms=25)) == tfidf_brute(docs, questions, 4)
 
 
+def test_questions_longer_than_a_block_give_the_same(corpus):
+    """Some questions have more terms than a block holds, some not; every document sum meets again."""
+    docs, questions, _, q, index = corpus
+    sizes = {r.qid: r.n for r in lexical.question_terms(q, index.terms, "qid", "question").groupBy("qid").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    limit = sorted(sizes.values())[len(sizes) // 2] - 1
+    assert min(sizes.values()) <= limit < max(sizes.values())
+    assert ranked(lexical.search_lexical(q, index, k=4, block_terms=limit)) == tfidf_brute(docs, questions, 4)
+    assert ranked(lexical.search_lexical(q, index, k=4, block_terms=9)) == tfidf_brute(docs, questions, 4)
+
+
 def test_lexical_filter_before_scoring(corpus):
     docs, _, _, q, index = corpus
     hits = lexical.search_lexical(q, index, k=3, where=F.col("size") < 30).collect()
