@@ -23,8 +23,8 @@ clusters, sets for texts in parts, once per tile. A cluster or part is sorted by
 blocks of at most BLOCK sets, fewer where sets are large, and a tile holds two blocks, so a
 huge one is many tasks, and block pairs of sizes too far apart are skipped. Tiles of one block
 or two neighbouring ones come first; of the others, those whose blocks are in one component by
-then have nothing left to find. A shingle in more than HOT cells' count is salted over many tasks; its
-texts are chained within each salt and the salts by one hub each. Equal sets are one class
+then have nothing left to find. A shingle whose cell counts more than HOT above the emptiest cell is
+salted over many tasks; its texts are chained within each salt and the salts by one hub each. Equal sets are one class
 throughout (64-bit hash of the set, and its size).
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; fewer
@@ -144,7 +144,10 @@ def shingle_counts(tables: DataFrame) -> np.ndarray:
 
 def first_shingles(docs: DataFrame, counts: np.ndarray, text: str) -> DataFrame:
     """(key, cls, n, hot_key): the rarest shingles of each set, enough of them that linked sets share one."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2**CELL_BITS numbers
+    # What even the emptiest cell holds is other shingles that fell there: in a corpus large
+    # against the table every cell's, so a cell tells of a frequent shingle by the rest.
+    above = counts - counts.min()
+    shared = docs.sparkSession.sparkContext.broadcast(above)  # 2**CELL_BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, table, row = Powers(), shared.value, 0

@@ -103,6 +103,24 @@ def test_near_components_equal_brute_force(spark, table):
     assert found == sorted(brute_components(documents), key=repr)
 
 
+def test_full_cells_make_no_shingle_hot(spark):
+    """In a corpus large against the table every cell is full; only what stands out is salted."""
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(text,)] * 4, "text string").repartition(2)
+    counts = np.full(1 << jaccard_join.CELL_BITS, 50 * jaccard_join.HOT, np.int32)
+    even = rows(jaccard_join.first_shingles(docs, counts, "text"))
+    assert len(even) == 4 * jaccard_join.prefix_length(56) and {r[3] for r in even} == {None}
+    shingle = min(r[0] for r in even)
+    cell = int(np.array([shingle], np.int64).view(np.uint64)[0] >> np.uint64(64 - jaccard_join.CELL_BITS))
+    raised = np.full_like(counts, 10)
+    raised[cell] += 3 * jaccard_join.HOT
+    assert shingle not in {r[0] for r in rows(jaccard_join.first_shingles(docs, raised, "text"))}  # now the last one
+    short = spark.createDataFrame([("a b c d e",)] * 4, "text string").repartition(2)
+    one = rows(jaccard_join.first_shingles(short, counts, "text"))[0][0]
+    raised[int(np.array([one], np.int64).view(np.uint64)[0] >> np.uint64(64 - jaccard_join.CELL_BITS))] += 3 * jaccard_join.HOT
+    assert {r[3] for r in rows(jaccard_join.first_shingles(short, raised, "text"))} == {one}
+
+
 def test_rows_repeated_under_one_id_meet_once(spark, monkeypatch):
     a = [f"a{i}" for i in range(60)]
     near, other = " ".join(["x", *a[1:]]), " ".join(f"b{i}" for i in range(60))
