@@ -22,8 +22,8 @@ Scale: one shuffle of (shingle, set) for a quarter of all shingles; points move
 clusters, sets for texts in parts, once per tile. A cluster or part is sorted by size into
 blocks of at most BLOCK sets, fewer where sets are large, and a tile holds two blocks, so a
 huge one is many tasks, and block pairs of sizes too far apart are skipped. Tiles of one block
-or two neighbouring ones come first; of the others, those whose blocks are in one component by
-then have nothing left to find. A shingle whose cell counts more than HOT above the emptiest cell is
+or two neighbouring ones come first; pairs of other blocks are made only then, and only where
+the two are not in one component. A shingle whose cell counts more than HOT above the emptiest cell is
 salted over many tasks; its texts are chained within each salt and the salts by one hub each. Equal sets are one class
 throughout (64-bit hash of the set, and its size).
 
@@ -210,17 +210,18 @@ def blocks_of(members: DataFrame) -> DataFrame:
     )
 
 
-def tile_pairs(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cluster, ti, tj) of two blocks whose sizes allow links: neighbouring blocks, and others."""
+def block_spans(placed: DataFrame) -> DataFrame:
+    """(cluster, block, low, high, at): the sizes in a block and its place in its cluster."""
     spans = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     order = Window.partitionBy("cluster").orderBy("block")
-    spans = materialise(spans.withColumn("at", F.row_number().over(order)), "join-spans")
-    other = spans.select("cluster", F.col("block").alias("tj"), F.col("at").alias("to"), F.col("low").alias("to_low"))
-    reach = spans.withColumnRenamed("block", "ti").join(other, "cluster").filter(
-        (F.col("to") > F.col("at")) & (100 * F.col("high") >= SHARE * F.col("to_low"))
-    )
-    reach = materialise(reach.select("cluster", "ti", "tj", (F.col("to") - F.col("at") == 1).alias("near")), "join-reach")
-    return reach.filter("near").drop("near"), reach.filter("not near").drop("near")
+    return materialise(spans.withColumn("at", F.row_number().over(order)), "join-spans")
+
+
+def near_tiles(spans: DataFrame) -> DataFrame:
+    """(cluster, ti, tj) of neighbouring blocks whose sizes allow links."""
+    order = Window.partitionBy("cluster").orderBy("at")
+    beside = spans.withColumn("tj", F.lead("block").over(order)).withColumn("next_low", F.lead("low").over(order))
+    return beside.filter(100 * F.col("high") >= SHARE * F.col("next_low")).select("cluster", F.col("block").alias("ti"), "tj")
 
 
 def sent_to(placed: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -229,17 +230,33 @@ def sent_to(placed: DataFrame, pairs: DataFrame) -> DataFrame:
     return placed.join(ends, ["cluster", "block"]).select("cls", "n", "cluster", "block", "ti", "tj")
 
 
-def open_pairs(placed: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The tiles whose two blocks are not yet in one component of `roots` (v, root)."""
+def open_tiles(spans: DataFrame, placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cluster, ti, tj) of blocks apart whose sizes allow links and that are not in one component
+    of `roots` (v, root).
+
+    Only blocks of several components meet all others of their cluster; blocks of one component
+    meet those of other ones. A cluster of copies, whose blocks are one component by now, gives
+    no pairs, however many blocks it has.
+    """
     rooted = placed.join(lookup_side(roots, "join-so-far"), F.col("cls") == F.col("v"), "left")
     ends = rooted.withColumn("root", F.coalesce("root", "cls")).groupBy("cluster", "block").agg(
         F.min("root").alias("r0"), F.max("root").alias("r1")
     )
-    i, j = (ends.select("cluster", F.col("block").alias(t), F.struct("r0", "r1").alias(f"r{t}")) for t in ("ti", "tj"))
-    both = pairs.join(i, ["cluster", "ti"]).join(j, ["cluster", "tj"])
-    done = (F.col("rti.r0") == F.col("rti.r1")) & (F.col("rtj.r0") == F.col("rtj.r1")) & (
-        F.col("rti.r0") == F.col("rtj.r0"))
-    return both.filter(~done).select("cluster", "ti", "tj")
+    known = spans.join(ends, ["cluster", "block"]).withColumn("root", F.when(F.col("r0") == F.col("r1"), F.col("r0")))
+    known = materialise(known.drop("r0", "r1"), "join-known")
+    other = known.select("cluster", *(F.col(c).alias(f"to_{c}") for c in ("block", "low", "high", "at", "root")))
+    split = lookup_side(known.filter("root is null"), "join-split")
+    pairs = split.join(other, "cluster").filter((F.col("to_at") > F.col("at")) | F.col("to_root").isNotNull())
+    whole = known.filter("root is not null")
+    groups = whole.select("cluster", "root").distinct()
+    apart = groups.join(groups.withColumnRenamed("root", "to_root"), "cluster").filter("root <> to_root")
+    across = apart.join(whole, ["cluster", "root"]).join(other, ["cluster", "to_root"]).filter("to_at > at")
+    pairs = pairs.unionByName(across).filter(F.abs(F.col("to_at") - F.col("at")) > 1)
+    below = F.col("at") < F.col("to_at")
+    high, low = F.when(below, F.col("high")).otherwise(F.col("to_high")), F.when(below, F.col("to_low")).otherwise(F.col("low"))
+    return pairs.filter(100 * high >= SHARE * low).select(
+        "cluster", F.least("block", "to_block").alias("ti"), F.greatest("block", "to_block").alias("tj")
+    )
 
 
 def tiled_components(members: DataFrame, links_of, label: str) -> DataFrame:
@@ -248,13 +265,13 @@ def tiled_components(members: DataFrame, links_of, label: str) -> DataFrame:
     `links_of` takes rows (cls, n, cluster, block, ti, tj) and gives (a, b) for each tile.
     """
     placed = blocks_of(members)
-    near, far = tile_pairs(placed)
+    spans = block_spans(placed)
     own = placed.select("cls", "n", "cluster", "block", F.col("block").alias("ti"), F.col("block").alias("tj"))
-    found = materialise(links_of(own.unionByName(sent_to(placed, near))), f"{label}-links")
+    found = materialise(links_of(own.unionByName(sent_to(placed, near_tiles(spans)))), f"{label}-links")
     roots = materialise(components(found, label), f"{label}-roots")
-    if far.isEmpty():
+    if spans.filter("at > 2").isEmpty():
         return roots
-    still = materialise(open_pairs(placed, far, roots), f"{label}-open")
+    still = materialise(open_tiles(spans, placed, roots), f"{label}-open")
     if still.isEmpty():
         return roots
     rest = materialise(links_of(sent_to(placed, still)), f"{label}-more")

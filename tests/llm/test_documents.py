@@ -121,6 +121,33 @@ def test_full_cells_make_no_shingle_hot(spark):
     assert {r[3] for r in rows(jaccard_join.first_shingles(short, raised, "text"))} == {one}
 
 
+def test_open_tiles_are_the_pairs_not_settled(spark):
+    """Blocks of one, of two and of several components, in two clusters, against all pairs."""
+    rng = np.random.default_rng(3)
+    placed, roots, spans = [], {}, {}
+    for cluster, n_blocks, copies in ((1, 12, False), (2, 30, True)):
+        for block in range(n_blocks):
+            sizes = sorted(int(x) for x in 100 * 1.05 ** (block + rng.random(3)))
+            for n in sizes:
+                cls = len(placed) + 1000
+                roots[cls] = 5 if copies else int(rng.integers(1, 4)) if block % 3 == 0 else 1 + block % 2
+                placed.append((cls, n, cluster, block))
+            spans[cluster, block] = (sizes[0], sizes[-1], {roots[p[0]] for p in placed[-3:]})
+    frame = spark.createDataFrame(placed, "cls long, n int, cluster long, block long").repartition(3)
+    known = spark.createDataFrame(list(roots.items()), "v long, root long")
+    found = jaccard_join.block_spans(frame)
+
+    def pairs(apart):
+        return sorted(
+            (c, i, j) for (c, i), a in spans.items() for (d, j), b in spans.items()
+            if c == d and apart(j - i) and 100 * a[1] >= 75 * b[0] and (j - i == 1 or len(a[2] | b[2]) > 1)
+        )
+
+    assert sorted(rows(jaccard_join.near_tiles(found))) == pairs(lambda d: d == 1)
+    left = sorted(rows(jaccard_join.open_tiles(found, frame, known)))
+    assert left == pairs(lambda d: d > 1) and {c for c, _, _ in left} == {1}
+
+
 def test_rows_repeated_under_one_id_meet_once(spark, monkeypatch):
     a = [f"a{i}" for i in range(60)]
     near, other = " ".join(["x", *a[1:]]), " ".join(f"b{i}" for i in range(60))
