@@ -25,7 +25,8 @@ huge one is many tasks, and block pairs of sizes too far apart are skipped. Tile
 or two neighbouring ones come first; pairs of other blocks are made only then, and only where
 the two are not in one component. A shingle whose cell counts more than HOT above the emptiest cell is
 salted over many tasks; its texts are chained within each salt and the salts by one hub each. Equal sets are one class
-throughout (64-bit hash of the set, and its size).
+throughout: a 64-bit hash of the set, or where unequal sets share it, found by a second such
+hash, that second one.
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; fewer
 than five words are one shingle; a null doc_id has its component's smallest id, or null alone;
@@ -35,7 +36,8 @@ repeated rows are equal sets; an empty table gives no rows; other columns do not
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,8 @@ BLOCK = 256  # sets per block; a tile has two blocks
 WIDE = 4096  # shingles beyond which a block has a quarter of the sets, and so on by fours
 LEAF = 16
 POINT_BITS = (6, 14)  # 64 to 16,384 groups, by the size of the set
+CLASS_BITS = 64
+CLASS_SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 MERGE = 32  # count tables added up by one task
 
 
@@ -67,10 +71,17 @@ def prefix_length(n: int) -> int:
     return n - -(-SHARE * n // 100) + 1
 
 
-def set_class(s: np.ndarray) -> int:
-    """Signed 64-bit hash of a set."""
-    total = np.add.reduce(mixed(s ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)
-    return int(mixed(np.array([total + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
+def set_hashes(s: np.ndarray, bits: int = CLASS_BITS) -> tuple[int, int]:
+    """Two independent signed 64-bit hashes of a set; of the first `bits` bits."""
+    sums = [np.add.reduce(mixed(s ^ seed), dtype=np.uint64) for seed in CLASS_SEEDS]
+    first, second = (int(h) for h in mixed(np.array(sums, np.uint64) + np.uint64(len(s))).view(np.int64))
+    return first >> (64 - bits), second
+
+
+def set_class(s: np.ndarray, shared: frozenset[int] = frozenset(), bits: int = CLASS_BITS) -> int:
+    """The first hash, or the second where unequal sets share the first."""
+    first, second = set_hashes(s, bits)
+    return second if first in shared else first
 
 
 def point_bits(n: int) -> int:
@@ -90,8 +101,11 @@ def unpacked_point(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, kind).astype(np.int32)
 
 
-def measure(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Per document (doc_id, n, cls, point), and per task one packed table of shingle counts."""
+def measure(docs: DataFrame, id_column: str, text: str, bits: int = CLASS_BITS) -> DataFrame:
+    """Per document (doc_id, n, cls, second, point), and per task one packed table of shingle counts.
+
+    `cls` and `second` are the two hashes of the set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, counts = Powers(), np.zeros(1 << CELL_BITS, np.int32)
@@ -101,18 +115,18 @@ def measure(docs: DataFrame, id_column: str, text: str) -> DataFrame:
                 s = shingle_set(content, powers)
                 np.add.at(counts, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
                 sizes.append(len(s))
-                classes.append(set_class(s) if len(s) else None)
+                classes.append(set_hashes(s, bits) if len(s) else (None, None))
                 points.append(packed_point(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
+                [batch.column(0), pa.array(sizes, pa.int64()), *(pa.array([c[i] for c in classes], pa.int64()) for i in (0, 1)),
                  pa.array(points, pa.binary()), pa.nulls(batch.num_rows, pa.binary())],
-                names=["doc_id", "n", "cls", "point", "counts"],
+                names=["doc_id", "n", "cls", "second", "point", "counts"],
             )
         packed = zlib.compress(counts.tobytes(), 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+            [pa.nulls(1, kind), *(pa.nulls(1, pa.int64()) for _ in range(3)), pa.nulls(1, pa.binary()),
              pa.array([packed], pa.binary())],
-            names=["doc_id", "n", "cls", "point", "counts"],
+            names=["doc_id", "n", "cls", "second", "point", "counts"],
         )
 
     chosen = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
@@ -120,7 +134,20 @@ def measure(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
     kind = to_arrow_type(chosen.schema["doc_id"].dataType)
     name = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {name}, n long, cls long, point binary, counts binary")
+    return chosen.mapInArrow(run, f"doc_id {name}, n long, cls long, second long, point binary, counts binary")
+
+
+def with_classes(measured: DataFrame) -> tuple[DataFrame, frozenset[int]]:
+    """`measured` with classes that tell sets apart, and the first hashes that unequal sets share.
+
+    Those are two in 10^19 of all pairs of sets: some hundreds among 10^11 sets, none in
+    smaller tables. Their sets take the second hash as class instead.
+    """
+    several = measured.filter("cls is not null").groupBy("cls").agg(
+        F.min("second").alias("low"), F.max("second").alias("high")).filter("low <> high")
+    shared = frozenset(r.cls for r in several.select("cls").collect())
+    settled = F.when(F.col("cls").isin(*shared), F.col("second")).otherwise(F.col("cls")) if shared else F.col("cls")
+    return measured.withColumn("cls", settled).drop("second"), shared
 
 
 def shingle_counts(tables: DataFrame) -> np.ndarray:
@@ -142,7 +169,9 @@ def shingle_counts(tables: DataFrame) -> np.ndarray:
     return np.zeros(1 << CELL_BITS, np.int32) if first is None else np.frombuffer(zlib.decompress(first[0]), np.int32)
 
 
-def first_shingles(docs: DataFrame, counts: np.ndarray, text: str) -> DataFrame:
+def first_shingles(
+    docs: DataFrame, counts: np.ndarray, text: str, of_set: Callable[[np.ndarray], int] = set_class
+) -> DataFrame:
     """(key, cls, n, hot_key): the rarest shingles of each set, enough of them that linked sets share one."""
     # What even the emptiest cell holds is other shingles that fell there: in a corpus large
     # against the table every cell's, so a cell tells of a frequent shingle by the rest.
@@ -164,7 +193,7 @@ def first_shingles(docs: DataFrame, counts: np.ndarray, text: str) -> DataFrame:
                 salts = (mixed(np.full(len(take), row, np.uint64)) % (1 + often[take].astype(np.uint64) // np.uint64(HOT)))
                 keys.append(np.where(common, mixed(key + salts), key).view(np.int64))
                 hot.append(np.where(common, key.view(np.int64), 0))
-                classes.append(np.full(len(take), set_class(s), np.int64))
+                classes.append(np.full(len(take), of_set(s), np.int64))
                 sizes.append(np.full(len(take), len(s), np.int32))
             if not keys:
                 continue
@@ -427,7 +456,9 @@ def point_links(points: DataFrame, tiles: DataFrame) -> DataFrame:
     return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long")
 
 
-def chosen_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, text: str, id_column: str) -> DataFrame:
+def chosen_sets(
+    docs: DataFrame, members: DataFrame, repeated: DataFrame, text: str, id_column: str, of_set: Callable[[np.ndarray], int]
+) -> DataFrame:
     """(cls, shingles) once for each class of `members`, from a row with its id.
 
     Ids of several rows (`repeated`) may have other classes' texts and many rows of one; only
@@ -441,7 +472,7 @@ def chosen_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, text:
             held = pa.array([len(s) > 0 for s in found], pa.bool_())
             found = [s for s in found if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(held), pa.array([set_class(s) for s in found], pa.int64()),
+                [batch.column(0).filter(held), pa.array([of_set(s) for s in found], pa.int64()),
                  pa.array([s.tobytes() for s in found], pa.binary())],
                 names=["doc_id", "cls", "shingles"],
             )
@@ -469,7 +500,8 @@ def chosen_sets(docs: DataFrame, members: DataFrame, repeated: DataFrame, text:
 
 
 def verified_links(
-    docs: DataFrame, members: DataFrame, repeated: DataFrame, tiles: DataFrame, text: str, id_column: str
+    docs: DataFrame, members: DataFrame, repeated: DataFrame, tiles: DataFrame, text: str, id_column: str,
+    of_set: Callable[[np.ndarray], int],
 ) -> DataFrame:
     """(a, b): links between classes, enough to join their components."""
     side = lookup_side(tiles, "join-tiles")
@@ -483,18 +515,23 @@ def verified_links(
         ]
         return _numbers(table, tile_links(sets_here, *_sides(table)), table.column("cls").to_numpy())
 
-    rows = chosen_sets(docs, tiled, repeated, text, id_column).join(side, "cls")
+    rows = chosen_sets(docs, tiled, repeated, text, id_column, of_set).join(side, "cls")
     return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long")
 
 
-def near_parts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, cls, part) per row of `docs`, written; cls and part are null without shingles."""
+def near_parts(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", bits: int = CLASS_BITS
+) -> tuple[DataFrame, Callable[[np.ndarray], int]]:
+    """(doc_id, n, cls, part) per row of `docs`, written, and how a set gives its cls; cls and part
+    are null without shingles. Fewer `bits` of the first hash make more sets take the second.
+    """
     docs = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
     id_column, text = "doc_id", "text"
-    measured = materialise(measure(docs, id_column, text), "join-measured")
+    measured, shared = with_classes(materialise(measure(docs, id_column, text, bits), "join-measured"))
+    of_set = partial(set_class, shared=shared, bits=bits)
     counts = shingle_counts(measured.filter("counts is not null").select("counts"))
     rows = measured.filter("counts is null").select("doc_id", "n", "cls")
-    clusters = materialise(components(cluster_edges(first_shingles(docs, counts, text)), "join-clusters"), "join-roots")
+    clusters = materialise(components(cluster_edges(first_shingles(docs, counts, text, of_set)), "join-clusters"), "join-roots")
     inside = rows.filter("cls is not null").join(lookup_side(clusters, "join-roots"), F.col("cls") == F.col("v"))
     members = materialise(
         inside.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("root").alias("cluster")),
@@ -515,17 +552,17 @@ def near_parts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
         F.col("part").alias("cluster"), "n", "cls"
     )
     linked = tiled_components(
-        closer, lambda tiles: verified_links(docs, members, repeated, tiles, text, id_column), "join-linked"
+        closer, lambda tiles: verified_links(docs, members, repeated, tiles, text, id_column, of_set), "join-linked"
     ).withColumnsRenamed({"v": "_v", "root": "_root"})
     rooted = rows.join(lookup_side(linked, "join-linked"), F.col("cls") == F.col("_v"), "left").select(
         "doc_id", "n", "cls", F.coalesce("_root", "cls").alias("part")
     )
-    return materialise(rooted, "join-result-parts")
+    return materialise(rooted, "join-result-parts"), of_set
 
 
-def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", bits: int = CLASS_BITS) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of `docs`."""
-    rooted = near_parts(docs, id_column, text)
+    rooted, _ = near_parts(docs, id_column, text, bits)
     several = rooted.filter("part is not null").groupBy("part").agg(
         F.min("doc_id").alias("_smallest"), F.count(F.lit(1)).alias("_n")
     ).filter("_n > 1").select(F.col("part").alias("_part"), "_smallest")
@@ -535,7 +572,7 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
 
 
-def with_class(docs: DataFrame, text: str) -> DataFrame:
+def with_class(docs: DataFrame, text: str, of_set: Callable[[np.ndarray], int]) -> DataFrame:
     """`docs` with the class of each row's set as last column, null without shingles."""
     at, names = docs.columns.index(text), [*docs.columns, "_class"]
 
@@ -543,13 +580,15 @@ def with_class(docs: DataFrame, text: str) -> DataFrame:
         powers = Powers()
         for batch in batches:
             found = [shingle_set(t, powers) for t in batch.column(at).to_pylist()]
-            classes = pa.array([set_class(s) if len(s) else None for s in found], pa.int64())
+            classes = pa.array([of_set(s) if len(s) else None for s in found], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_class", T.LongType())]))
 
 
-def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_component(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", bits: int = CLASS_BITS
+) -> DataFrame:
     """One row of each component, with all columns of `docs`: of its rows with the smallest id
     (a null one is larger than any other) one of the smallest class.
 
@@ -558,7 +597,7 @@ def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     """
     columns = docs.columns
     docs, (id_column, text) = renamed_apart(docs, id_column, text)
-    rows = near_parts(docs, id_column, text)
+    rows, of_set = near_parts(docs, id_column, text, bits)
     rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "cls")
     several = rows.filter("part is not null").groupBy("part").agg(
         F.min(rank).alias("_first"), F.count(F.lit(1)).alias("_n")
@@ -584,7 +623,7 @@ def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     theirs = docs.join(lookup_side(mixed_ids, "join-mixed"), docs[id_column].eqNullSafe(F.col("_id")), "left_semi")
     keys = judged.filter("stays").join(mixed_ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     keys = keys.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls")).distinct()
-    found = with_class(theirs, text)
+    found = with_class(theirs, text, of_set)
     kept = found.join(
         lookup_side(keys, "join-kept"),
         found[id_column].eqNullSafe(F.col("_id")) & F.col("_class").eqNullSafe(F.col("_cls")), "left_semi",

@@ -99,8 +99,11 @@ def test_near_components_equal_brute_force(spark, table):
             step = max(2, int(1 / share))
             extra.append((10_000 + len(extra), " ".join("changed" if i % step == 1 else w for i, w in enumerate(words))))
     documents = edited + extra
-    found = rows(jaccard_join.near_components(spark.createDataFrame(documents, "doc_id long, text string")))
-    assert found == sorted(brute_components(documents), key=repr)
+    docs = spark.createDataFrame(documents, "doc_id long, text string")
+    want = sorted(brute_components(documents), key=repr)
+    assert rows(jaccard_join.near_components(docs)) == want
+    # Hashes that many unequal sets share: the second ones tell them apart.
+    assert rows(jaccard_join.near_components(docs, bits=4)) == want
 
 
 def test_full_cells_make_no_shingle_hot(spark):
@@ -181,6 +184,8 @@ def test_one_per_component_of_ids_with_several_texts(spark, no_docs):
     docs = spark.createDataFrame([(*d, "s") for d in documents], "doc_id long, text string, source string")
     kept = jaccard_join.one_per_component(docs)
     assert kept.columns == docs.columns
+    # Which text of one id stays may follow the class; here each id's component has one text under it.
+    assert rows(jaccard_join.one_per_component(docs, bits=2)) == rows(kept)
     assert rows(kept) == sorted([(*d, "s") for d in [
         (1, one), (2, two), (3, three), (4, "a b c d e f"), (4, "g h i j k l"), (7, ""), (7, " "), (None, "m n o p q"), (None, ""), (None, "")]], key=repr)
     assert jaccard_join.one_per_component(no_docs).count() == 0
