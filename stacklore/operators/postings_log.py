@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stacklore.operators.dedup import first_row
 from stacklore.operators.joins import keep_keys, require_unique
-from stacklore.operators.lexical import LexicalIndex, term_counts, weights
+from stacklore.operators.lexical import LexicalIndex, doc_term_counts, weighted_index
 from stacklore.operators.refresh import DELETE, UPSERT, fingerprint
 from stacklore.session import complete_parts, materialise
 
@@ -80,7 +80,7 @@ def refresh_postings(docs: DataFrame, path: str, key: str, text_col: str, versio
         return f"{_part(path, part)}/version={version}"
 
     texts = log.filter(F.col("_op") == UPSERT).select(key, F.col(text_col).alias("_text"))
-    term_counts(texts, key, "_text").write.mode("overwrite").parquet(target("postings"))
+    doc_term_counts(texts, key, "_text").write.mode("overwrite").parquet(target("postings"))
     moved = _moves(spark.read.parquet(target("postings")), texts, 1)
     if replaced is not None:
         moved = moved.unionByName(_moves(_live_counts(spark, path, replaced, key, version), replaced, -1))
@@ -100,14 +100,17 @@ def open_postings(spark: SparkSession, path: str, key: str) -> LexicalIndex:
     """The index as of its last complete version."""
     if not versions(spark, path):
         raise ValueError(f"no index at {path}")
-    live = materialise(_current(spark, path, key), "index-live")
+    live = materialise(_current(spark, path, key).select(key, "version"), "index-live")
     found_in = materialise(
         _log(spark, path, "terms", None).groupBy("term").agg(F.sum("moved").alias("df")), "index-terms"
     )
     n_docs = found_in.filter("term is null").agg(F.sum("df")).first()[0] or 0
-    counts = _live_counts(spark, path, live, key).select(F.col(key).alias("doc_id"), "term", "tf")
-    docs = live.drop("_fp", "version")
-    return LexicalIndex(*weights(counts, found_in.filter("term is not null and df > 0"), n_docs), docs, key)
+    found_in = found_in.filter("term is not null and df > 0")
+    # Lengths of replaced texts are summed up too and left out by document: counts are not joined for that.
+    ids = ("doc_id", "version")
+    counts = _log(spark, path, "postings", None).withColumnRenamed(key, "doc_id")
+    docs = _log(spark, path, "docs", None).drop("_fp", "_op").join(live, [key, "version"], "left_semi").drop("version")
+    return weighted_index(counts, found_in, n_docs, docs, key, ids, live.withColumnRenamed(key, "doc_id"))
 
 
 def compact_postings(spark: SparkSession, path: str, key: str, target: str) -> None:
