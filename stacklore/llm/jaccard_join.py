@@ -8,17 +8,21 @@ sets. Pairs already in one component need no further link.
 
 One tree over a large corpus would not prune: every box of many texts touches every other. So
 the tree's upper level is a partition into clusters that no link crosses, built exactly:
-two sets with similarity 0.75 share one of the first |S| - ceil(0.75 |S|) + 1 shingles of
-either in any common order. The order is rarest first, by counts of all documents' shingles in
-CELLS hashed cells (a table of fixed size). Sets that share such a shingle are chained by size
-where sizes allow a link, and connected chains are a cluster. Texts that only share a common
-passage do not meet, as their rare shingles come first.
+two sets with similarity 0.75 share MEET of the first |S| - ceil(0.75 |S|) + MEET shingles of
+either in any common order, or all of a smaller needed overlap. The order is rarest first, by
+counts of all documents' shingles in CELLS hashed cells (a table of fixed size). Sets whose sizes
+allow a link are paired where they share such a shingle, and pairs that do so MEET times are
+edges; where one of them meets FEW others or more at a shingle, they are chained there by size
+instead, and each step is an edge. Connected edges are a cluster. One shingle is shared by chance
+by ever more texts as a corpus grows, several hardly; texts that only share a common passage do
+not meet, as their rare shingles come first.
 
 Inside a cluster the points alone are compared first, and the pairs whose bound allows a link
 split it into parts. A point has about a group for every three shingles and a byte for each
 group: a thirtieth of its set. Sets move for the parts only, to be verified there.
 
-Scale: one shuffle of (shingle, set) for a quarter of all shingles; points move for texts in
+Scale: one shuffle of (shingle, set) for a quarter of all shingles, one of the pairs, FEW - 1 at
+most per set and shingle; points move for texts in
 clusters, sets for texts in parts, once per tile. A cluster or part is sorted by size into
 blocks of at most BLOCK sets, fewer where sets are large, and a tile holds two blocks, so a
 huge one is many tasks, and block pairs of sizes too far apart are skipped. Tiles of one block
@@ -41,7 +45,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +60,8 @@ HOT = 20_000  # rows of one shingle that may meet in one task
 BLOCK = 256  # sets per block; a tile has two blocks
 WIDE = 4096  # shingles beyond which a block has a quarter of the sets, and so on by fours
 LEAF = 16
+MEET = 4  # shingles at the front of both that a pair must share, unless it needs fewer in all
+FEW = 8  # sets of fitting sizes that a shingle pairs one by one
 POINT_BITS = (6, 14)  # 64 to 16,384 groups, by the size of the set
 CLASS_BITS = 64
 CLASS_SEEDS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
@@ -68,7 +74,8 @@ def needed(size_a, size_b):
 
 
 def prefix_length(n: int) -> int:
-    return n - -(-SHARE * n // 100) + 1
+    """How many of a set's first shingles hold MEET shared ones of any link, or all that it needs."""
+    return min(n, n - -(-SHARE * n // 100) + MEET)
 
 
 def set_hashes(s: np.ndarray, bits: int = CLASS_BITS) -> tuple[int, int]:
@@ -172,7 +179,7 @@ def shingle_counts(tables: DataFrame) -> np.ndarray:
 def first_shingles(
     docs: DataFrame, counts: np.ndarray, text: str, of_set: Callable[[np.ndarray], int] = set_class
 ) -> DataFrame:
-    """(key, cls, n, hot_key): the rarest shingles of each set, enough of them that linked sets share one."""
+    """(key, cls, n, hot_key): the rarest shingles of each set, enough of them that linked sets share MEET."""
     # What even the emptiest cell holds is other shingles that fell there: in a corpus large
     # against the table every cell's, so a cell tells of a frequent shingle by the rest.
     above = counts - counts.min()
@@ -208,21 +215,49 @@ def first_shingles(
 
 
 def cluster_edges(keys: DataFrame) -> DataFrame:
-    """Edges (a, b) between classes that keep every possible link inside one component."""
+    """Edges (a, b) between classes that keep every possible link inside one component.
+
+    At a key, a set is paired with each smaller one of a fitting size, if these are fewer than FEW;
+    pairs that share MEET keys are edges, or as many as they need in all. A set with more of them
+    (crowded) is chained to the one before it, as are the FEW - 1 before it to theirs: so all
+    that fit it are connected with it by steps that are edges without a count.
+    """
     order = Window.partitionBy("key").orderBy("n", "cls")
-    beside = keys.withColumn("prev", F.lag("cls").over(order)).withColumn("prev_n", F.lag("n").over(order))
-    allowed = (100 * F.col("prev_n") >= SHARE * F.col("n")) | F.col("hot_key").isNotNull()
-    chained = (F.col("prev") != F.col("cls")) & allowed
-    hub = F.col("hot_key").isNotNull() & F.col("prev").isNull()
+    hot = F.col("hot_key").isNotNull()
+    # Most keys have one row. Rows of equal sets lie side by side, and the first one stands for them.
+    several = keys.withColumn("prev", F.lag("cls").over(order)).withColumn("next", F.lead("cls").over(order)).filter(
+        ~F.col("prev").eqNullSafe(F.col("cls")) & (hot | F.col("prev").isNotNull() | F.col("next").isNotNull())
+    )
+    crowded = F.coalesce(100 * F.lag("n", FEW).over(order) >= SHARE * F.col("n"), F.lit(False))
+    before = [F.lag(F.struct("cls", "n"), i).over(order) for i in range(1, FEW)]
+    placed = several.select("key", "cls", "n", "hot_key", crowded.alias("crowded"), *(x.alias(f"b{i}") for i, x in enumerate(before, 1)))
+    step = F.max("crowded").over(order.rowsBetween(0, FEW - 1))
+    placed = placed.withColumn("step", hot | step)
+
+    def end(a: Column, weight: Column, hub: bool = False) -> Column:
+        return F.struct(a.alias("a"), weight.cast("long").alias("weight"), F.lit(hub).alias("hub"))
+
+    ends = []
+    for i in range(1, FEW):
+        size = F.col(f"b{i}.n")
+        fits = 100 * size >= SHARE * F.col("n")
+        # Pairs of so small sets that they need fewer than MEET count each as several.
+        least = F.least(F.lit(MEET), F.ceil(SHARE * (size + F.col("n")) / (100 + SHARE)))
+        weight = F.ceil(MEET / least)
+        if i == 1:
+            ends.append(F.when(hot & size.isNotNull() | fits, end(F.col("b1.cls"), F.when(F.col("step"), MEET).otherwise(weight))))
+        else:
+            ends.append(F.when(fits & ~hot & ~F.col("crowded"), end(F.col(f"b{i}.cls"), weight)))
+    ends.append(F.when(hot & F.col("b1").isNull(), end(F.col("hot_key"), F.lit(MEET), True)))
+    pairs = placed.select(F.col("cls").alias("b"), F.explode(F.array_compact(F.array(*ends))).alias("e")).select("e.*", "b")
     kept = materialise(
-        beside.filter(chained | hub).select("cls", F.when(chained, F.col("prev")).alias("prev"),
-                                            F.when(hub, F.col("hot_key")).alias("hub_of")).distinct(),
+        pairs.groupBy("hub", "a", "b").agg(F.sum("weight").alias("weight")).filter(F.col("weight") >= MEET).drop("weight"),
         "join-chains",
     )
-    hubs = kept.filter("hub_of is not null").select("hub_of", "cls")
+    hubs = kept.filter("hub").select(F.col("a").alias("hub_of"), F.col("b").alias("cls"))
     smallest = hubs.groupBy("hub_of").agg(F.min("cls").alias("a"))
     across = materialise(hubs.join(smallest, "hub_of").select("a", F.col("cls").alias("b")), "join-hubs")
-    return kept.filter("prev is not null").select(F.col("prev").alias("a"), F.col("cls").alias("b")).unionByName(across)
+    return kept.filter("not hub").select("a", "b").unionByName(across)
 
 
 def blocks_of(members: DataFrame) -> DataFrame:

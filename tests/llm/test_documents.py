@@ -124,6 +124,61 @@ def test_full_cells_make_no_shingle_hot(spark):
     assert {r[3] for r in rows(jaccard_join.first_shingles(short, raised, "text"))} == {one}
 
 
+def joined(pairs):
+    """The smallest member of each end's component."""
+    parent = {}
+
+    def root(v):
+        while parent.setdefault(v, v) != v:
+            v = parent[v]
+        return v
+    for a, b in pairs:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    return {v: root(v) for v in list(parent)}
+
+
+def test_one_shared_shingle_joins_no_clusters(spark):
+    """As in a large corpus: every text shares a rare shingle with the next one, by chance."""
+    texts = [" ".join([*(f"t{i}x{j}" for j in range(50)), *(f"s{i}x{j}" for j in range(5)), *(f"s{i + 1}x{j}" for j in range(5))])
+             for i in range(40)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, texts[0] + " more"]], "text string").repartition(3)
+    counts = np.zeros(1 << jaccard_join.CELL_BITS, np.int32)
+    for i in range(1, 40):  # these come last in the order, all others tie: at the front of both or of neither
+        shared = shingles.shingle_set(" ".join(f"s{i}x{j}" for j in range(5)), shingles.Powers())
+        counts[(shared >> np.uint64(64 - jaccard_join.CELL_BITS)).astype(np.int64)] = -1
+    keys = jaccard_join.first_shingles(docs, counts, "text")
+    assert keys.groupBy("key").agg({"cls": "approx_count_distinct"}).filter("`approx_count_distinct(cls)` > 1").count() >= 39
+    found = rows(jaccard_join.cluster_edges(keys))
+    ends = {jaccard_join.set_class(shingles.shingle_set(t, shingles.Powers())) for t in (texts[0], texts[0] + " more")}
+    assert [set(e) for e in found] == [ends]
+
+
+def test_clusters_hold_every_link(spark, monkeypatch):
+    """Random sets of all sizes, among them crowded keys and hot ones, against all pairs."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for group in range(60):
+        base = [f"g{group}w{i}" for i in range(int(rng.integers(1, 70)))]
+        for _ in range(int(rng.choice([1, 2, 3, 12, 30]))):
+            cut = base[int(rng.integers(0, 1 + len(base) // 6)):len(base) - int(rng.integers(0, 1 + len(base) // 6))]
+            texts.append(" ".join("other" if rng.random() < 0.01 else w for w in cut))
+    sets = {}
+    for t in texts:
+        s = shingles.shingle_set(t, shingles.Powers())
+        if len(s):
+            sets[jaccard_join.set_class(s)] = set(s.tolist())
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert len(linked) > 500
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    monkeypatch.setattr(jaccard_join, "HOT", 20)
+    for hot in (0, 25):
+        counts = rng.integers(0, 5, 1 << jaccard_join.CELL_BITS).astype(np.int32)
+        counts[rng.random(len(counts)) < 0.5] += hot * 2
+        found = joined(rows(jaccard_join.cluster_edges(jaccard_join.first_shingles(docs, counts, "text"))))
+        assert all(a in found and found[a] == found.get(b) for a, b in linked)
+
+
 def test_open_tiles_are_the_pairs_not_settled(spark):
     """Blocks of one, of two and of several components, in two clusters, against all pairs."""
     rng = np.random.default_rng(3)
